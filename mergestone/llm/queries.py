@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergestone.llm import decontaminate, near_dup
+from mergestone.llm import decontaminate, near_dup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -23,9 +27,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op4_decontaminate": op4_decontaminate,
     "op5_near_duplicates": op5_near_duplicates,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk": topk.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
 }
