@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergestone.llm import decontaminate, near_dup, topk
+from mergestone.llm import decontaminate, extract, licenses, near_dup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,20 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.license_scan(_table(spark, sf_dir, "documents")))
+
+
+def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op4_decontaminate": op4_decontaminate,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_license_scan": op6_license_scan,
+    "op8_extract": op8_extract,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": topk.ORACLE_SQL,
