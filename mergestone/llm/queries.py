@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergestone.llm import decontaminate, extract, licenses, near_dup, topk
+from mergestone.llm import decontaminate, extract, licenses, near_dup, pieces, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +34,17 @@ def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op4_decontaminate": op4_decontaminate,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_license_scan": op6_license_scan,
     "op8_extract": op8_extract,
+    "op9_pieces": op9_pieces,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": topk.ORACLE_SQL,
