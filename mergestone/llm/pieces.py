@@ -142,11 +142,11 @@ class Pieces:
 
     Where no piece can cross the start of a run of markers, a text falls into
     independent parts, and most parts recur: the library encodes the parts of a
-    batch that are new, and the rest come from a bounded table. Other models go
+    batch that are new, and the rest come from two bounded tables. Other models go
     through the library whole text by whole text.
     """
 
-    def __init__(self, data: bytes, most_parts: int = 200_000, longest_part: int = 100) -> None:
+    def __init__(self, data: bytes, most_parts: int = 300_000, longest_part: int = 100) -> None:
         self.model = Model(data)
         self.tokenizer = build(self.model)
         pieces = self.model.pieces
@@ -154,7 +154,8 @@ class Pieces:
         if self.by_parts:
             self.core = tokenizers.Tokenizer.from_str(self.tokenizer.to_str())
             self.core.normalizer = self.core.pre_tokenizer = None
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, list[int]] = {}  # parts met lately
+        self.earlier: dict[str, list[int]] = {}  # the table before it, until this one is full
         self.most_parts, self.longest_part = most_parts, longest_part
         self.bytes_of = [
             bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode() for piece, _, kind in pieces
@@ -173,17 +174,24 @@ class Pieces:
             return [[] if blank(t) else ids for t, ids in zip(texts, found)]
         split = [[] if blank(t) else _PARTS.findall(self._normal(t)) for t in texts]
         if len(self.known) > self.most_parts:
-            self.known.clear()
-        known = self.known
-        fresh = list({p for parts in split for p in parts if p not in known})
-        new = dict(zip(fresh, (x.ids for x in self.core.encode_batch(fresh, add_special_tokens=False))))
-        known.update((p, ids) for p, ids in new.items() if len(p) <= self.longest_part)
+            self.known, self.earlier = {}, self.known
+        known, fresh = self.known, []
+        for p in set().union(*split):
+            if p not in known:
+                if p in self.earlier:
+                    known[p] = self.earlier[p]
+                else:
+                    fresh.append(p)
+        known.update(zip(fresh, (x.ids for x in self.core.encode_batch(fresh, add_special_tokens=False))))
         out = []
         for parts in split:
             ids: list[int] = []
             for p in parts:
-                ids += known[p] if p in known else new[p]
+                ids += known[p]
             out.append(ids)
+        for p in fresh:
+            if len(p) > self.longest_part:
+                del known[p]
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
