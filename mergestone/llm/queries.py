@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergestone.llm import decontaminate, extract, licenses, near_dup, pieces, topk
+from mergestone.llm import decontaminate, extract, licenses, near_dup, pieces, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.toxicity(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -40,6 +45,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_license_scan": op6_license_scan,
