@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergestone.llm import decontaminate, extract, licenses, near_dup, pieces, topk, toxicity
+from mergestone.llm import decontaminate, extract, licenses, near_dup, pieces, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,11 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return quality.quality(documents, quality.train(documents))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op3_toxicity": op3_toxicity,
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op8_extract": op8_extract,
     "op9_pieces": op9_pieces,
+    "op10_quality": op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": topk.ORACLE_SQL,
