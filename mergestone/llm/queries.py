@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergestone.llm import decontaminate, extract, licenses, near_dup, pieces, quality, topk, toxicity
+from mergestone.llm import chat, decontaminate, extract, licenses, near_dup, pieces, quality, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.resolve_revisits(warc.records_of_pages(_table(spark, sf_dir, "pages"))))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return toxicity.toxicity(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
@@ -35,6 +39,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.license_scan(_table(spark, sf_dir, "documents")))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.repair_roles(_table(spark, sf_dir, "conversations")))
+
+
 def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.main_text(_table(spark, sf_dir, "pages"))
 
@@ -50,15 +58,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op2_revisits": op2_revisits,
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_license_scan": op6_license_scan,
+    "op7_chat": op7_chat,
     "op8_extract": op8_extract,
     "op9_pieces": op9_pieces,
     "op10_quality": op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": topk.ORACLE_SQL,
+    "op2_revisits": warc.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
 }
