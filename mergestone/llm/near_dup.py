@@ -11,7 +11,8 @@ a pair at similarity 0.8 with probability 1.3e-7.
 In a band's bucket each node is compared with the smallest one (a star, not all
 pairs). Components follow, and a second search compares only those pairs of a
 bucket that are still in different components, so no link that could join two
-groups is left out. Both searches drop pairs whose sizes exclude the
+groups is left out; in large buckets an exact prefix filter finds them without
+a square of pairs. Both searches drop pairs whose sizes exclude the
 threshold, then those whose signatures agree in clearly too few places (six
 standard deviations below it), and confirm the rest on full sets.
 """
@@ -32,6 +33,8 @@ from mergestone.llm.words import GOLDEN, WordHashes, mix, shingle_set
 BANDS, ROWS = 40, 5
 #: Places of a signature that must agree, as a share: over six standard deviations below 0.8.
 LEAST_AGREEMENT = 0.62
+#: Members up to which a bucket's remaining pairs are compared directly; larger ones go through the prefix-filtered join.
+SMALL = 50
 #: Elements handled together; bounds the permutations held by a worker to about 60 MB.
 CHUNK = 300_000
 #: Bits of the filter of wanted documents: 8 MB whatever the input; a full filter only lets more rows pass.
@@ -219,6 +222,66 @@ def _links(spark, docs, features, pairs, shingle: int, percent: int, scratch: Sc
     return scratch.save(f"{name}-links", sure)
 
 
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(46)).astype(np.int64)  # 2^18 counters
+
+
+def _tally(shingle: int):
+    """How many documents have each shingle, by counter of a fixed-size table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = WordHashes(), np.zeros(1 << 18, np.int64)
+        for batch in batches:
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                np.add.at(counts, _slots(shingle_set(text, shingle, hashes)), 1)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["slot", "n"])
+
+    return run
+
+
+def _prefixes(shingle: int, percent: int, counts):
+    """The rarest shingles of each set, as many as any partner must share one of, with their places in that order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            ids, tokens, places, sizes = [], [], [], []
+            for i, text in zip(batch.column("id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                own = shingle_set(text, shingle, hashes)
+                length = len(own) - -(-percent * len(own) // 100) + 1
+                ranked = own[np.lexsort((own, counts.value[_slots(own)]))][:length]
+                ids.append(np.full(len(ranked), i, np.int64))
+                tokens.append(ranked.view(np.int64))
+                places.append(np.arange(len(ranked)))
+                sizes.append(np.full(len(ranked), len(own), np.int64))
+            flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (ids, tokens, places, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flat], names=["id", "token", "p", "n"])
+
+    return run
+
+
+def _crowded(spark, docs: DataFrame, crowd: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of crowd (id, n, c) with different c that may be links: a prefix-filtered join.
+
+    A large bucket holds a group of near copies and texts that are only rather
+    like them; comparing those with every copy would be a square. Two sets can
+    be links only if they share one of their rarest shingles, early enough in
+    both orders for the rest to reach the threshold. What a group has in common
+    is frequent in it, so texts with many shingles of their own meet no copy.
+    """
+    texts = scratch.save("crowd-texts", _wanted(spark, docs, crowd.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(crowd.select("id").distinct(), "id", "left_semi"))
+    table = np.zeros(1 << 18, np.int64)
+    for row in texts.mapInArrow(_tally(shingle), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():
+        table[row["slot"]] = row["n"]
+    counts = spark.sparkContext.broadcast(table)
+    tokens = texts.mapInArrow(_prefixes(shingle, percent, counts), "id long, token long, p long, n long").join(crowd.select("id", "c").distinct(), "id")
+    left = scratch.save("crowd-tokens", tokens).withColumnRenamed("id", "a")
+    right = left.select(F.col("a").alias("b"), "token", F.col("p").alias("q"), F.col("n").alias("o"), F.col("c").alias("d"))
+    fits = F.expr(f"c < d AND 100 * least(n, o) >= {percent} * greatest(n, o) AND {100 + percent} * least(n - p, o - q) >= {percent} * (n + o)")
+    return left.join(right, (left["token"] == right["token"]) & fits).select("a", "b")
+
+
 def near_duplicates(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -251,28 +314,32 @@ def near_duplicates(
         "member", named.select("id", "f1", "f2", "n").join(nodes.withColumnRenamed("id", "node"), ["f1", "f2", "n"]).select("id", "node")
     )
     first = named.join(member.filter("id = node").select("id").distinct(), "id", "left_semi")
-    exploded = first.select("id", F.explode("bands").alias("key")).distinct()
+    exploded = first.select("id", "n", F.explode("bands").alias("key")).distinct()
     centres = exploded.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("size")).filter("size > 1")
-    shared = scratch.save("shared", exploded.join(centres.select("key", "centre"), "key"))
+    shared = scratch.save("shared", exploded.join(centres, "key"))
     stars = shared.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = _links(spark, docs, features, stars, shingle, percent, scratch, "star")
     by_id = member.filter("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))  # ids with several texts, too
     group = scratch.save("groups", components(links, scratch, "cc1"))
 
     # pairs of a bucket that are still apart
-    placed = shared.select("key", "id").join(group.select(F.col("node").alias("id"), "component"), "id", "left")
-    placed = scratch.save("placed", placed.select("key", "id", F.coalesce("component", "id").alias("c")))
+    placed = shared.join(group.select(F.col("node").alias("id"), "component"), "id", "left")
+    placed = scratch.save("placed", placed.select("key", "id", "n", "size", F.coalesce("component", "id").alias("c")))
     mixed = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("key")
-    apart = placed.join(mixed, "key")
-    other = apart.select("key", F.col("id").alias("b"), F.col("c").alias("d"))
-    pairs = apart.withColumnRenamed("id", "a").join(other, "key").filter("c < d").select("a", "b").distinct()
+    apart = scratch.save("apart", placed.join(mixed, "key"))
+    close = F.expr(f"c < d AND 100 * least(n, o) >= {percent} * greatest(n, o)")
+    few = apart.filter(F.col("size") <= SMALL).select("key", F.col("id").alias("a"), "n", "c")
+    others = few.select("key", F.col("a").alias("b"), F.col("n").alias("o"), F.col("c").alias("d"))
+    pairs = few.join(others, (few["key"] == others["key"]) & close).select("a", "b")
+    crowd = apart.filter(F.col("size") > SMALL).select("id", "n", "c").distinct()
+    pairs = pairs.unionByName(_crowded(spark, docs, scratch.save("crowd", crowd), shingle, percent, scratch)).distinct()
     known = shared.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(known, ["a", "b"], "left_anti")
     more = _links(spark, docs, features, pairs, shingle, percent, scratch, "rest")
     stitched = contract(group.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
     everything = stitched.unionByName(more.select("a", "b")).unionByName(by_id.select("a", "b"))
     final = scratch.save("final", components(everything, scratch, "cc2"))
-    scratch.drop("member", "shared", "placed", "groups", "star-near", "star-texts", "star-links", "rest-near", "rest-texts", "rest-links")
+    scratch.drop("member", "shared", "placed", "apart", "crowd", "crowd-texts", "groups", "star-near", "star-texts", "star-links", "rest-near", "rest-texts", "rest-links", "crowd-tokens")
 
     found = features.select("id", "n").join(final.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("component", "id")
