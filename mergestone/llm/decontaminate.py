@@ -27,7 +27,6 @@ from mergestone.llm.scratch import Scratch
 from mergestone.llm.words import WordHashes, alnum_words, shingles
 
 WINDOW, TOKEN, BLOCK_WINDOWS = 10, 3, 200_000
-_FOUND = "spans array<struct<first:long,last:long>>, items array<string>"
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
@@ -159,8 +158,7 @@ def contamination(
     for k in range(blocks):
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
         index = _index(spark, docs, [(r["item"], r["text"]) for r in part.toLocalIterator()], window, token)
-        kind = f"id {docs.schema['id'].dataType.simpleString()}, text string, {_FOUND}"
-        out = out.mapInArrow(_search(index), kind)
+        out = out.mapInArrow(_search(index), out.schema)
         if scratch:
             out = scratch.save(f"block-{k}", out)
             if k:
@@ -215,3 +213,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
     CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (r) LEFT JOIN named USING (r)
 """
+
+
+def without_leaks(documents: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of documents, with all their columns, that hold no window of the benchmark."""
+    packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(text_col).alias("text"))
+    found = contamination(packed, benchmark, id_col="row")
+    return found.filter(F.size("spans") == 0).select("row.*")

@@ -349,3 +349,19 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of documents, with all their columns, whose id is the smallest of its group of near-duplicates.
+
+    Rows that repeat an id are one document: one of them stays. Rows without an
+    id all stay.
+    """
+    found = near_duplicates(documents, id_col, text_col, shingle, percent)
+    gone = found.filter(~F.col("kept")).select(F.col(id_col)).distinct()
+    left = documents.join(gone, id_col, "left_anti").select(*documents.columns)
+    repeated = found.groupBy(id_col).agg(F.count("*").alias("n")).filter(F.col(id_col).isNotNull() & (F.col("n") > 1)).select(id_col)
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, id_col, "left_semi").select(*documents.columns).dropDuplicates([id_col])
+    return left.join(repeated, id_col, "left_anti").select(*documents.columns).unionByName(once)

@@ -255,3 +255,17 @@ def quality(documents: DataFrame, model: Scorer, id_col: str = "doc_id", text_co
     held = documents.sparkSession.sparkContext.broadcast(model)  # a table of 4096 weights
     kind = f"id {docs.schema['id'].dataType.simpleString()}, score double, good boolean"
     return docs.mapInArrow(_score(held), kind).withColumnRenamed("id", id_col)
+
+
+def only_good(documents: DataFrame, model: Scorer, text_col: str = "text") -> DataFrame:
+    """The rows of documents, with all their columns, that score at least a half."""
+    held = documents.sparkSession.sparkContext.broadcast(model)
+    place = documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = Shapes()
+        for batch in batches:
+            texts = batch.column(place).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([score_of(*shapes.of(t), held.value.weights) >= 0.5 for t in texts], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -231,3 +231,19 @@ def toxicity(documents: DataFrame, model: Chain, id_col: str = "doc_id", text_co
     columns = ", ".join(f"p_{x.name} double" for x in model.links)
     kind = f"id {docs.schema['id'].dataType.simpleString()}, {columns}, {model.links[-1].name} boolean"
     return docs.mapInArrow(_score(held), kind).withColumnRenamed("id", id_col)
+
+
+def without_toxic(documents: DataFrame, model: Chain, text_col: str = "text") -> DataFrame:
+    """The rows of documents, with all their columns, that the chain doesn't find toxic."""
+    held = documents.sparkSession.sparkContext.broadcast(model)
+    place = documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Chosen(held.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                p = held.value.predict(part.column(place).cast(pa.binary()).to_pylist(), words)
+                yield part.filter(pa.array(p[:, -1] < held.value.threshold))
+
+    return documents.mapInArrow(run, documents.schema)
