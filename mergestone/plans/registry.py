@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergestone.plans import relational
+from mergestone.plans import changes, relational, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-for _part in (relational,):
+for _part in (relational, tables, changes):
     QUERIES.update(_part.QUERIES)
     ORACLE_SQL.update(_part.ORACLE_SQL)
