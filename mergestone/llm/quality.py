@@ -125,7 +125,7 @@ class VoteModel:
         return sigmoid(odds)
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> VoteModel:
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, most_caught: float = MOST_CAUGHT) -> VoteModel:
     """EM, begun with the share of votes for good, bad ones thrice. A heuristic may turn out useless, but not reversed:
     it votes bad on bad documents at least as often as on good ones."""
     kinds = patterns.shape[1]
@@ -140,7 +140,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> Vot
             rate = [0.0, 0.0]  # of the vote bad, on bad and on good documents
             for y in (0, 1):
                 said = [weight[y][patterns[:, k] == v].sum() for v in (BAD, GOOD)]
-                rate[y] = min(max((said[BAD] + 1 - y) / (sum(said) + 1), 0.001), MOST_CAUGHT)
+                rate[y] = min(max((said[BAD] + 1 - y) / (sum(said) + 1), 0.001), most_caught)
             if rate[0] < rate[1]:
                 rate = [sum(rate) / 2] * 2
             chance[k, :, BAD], chance[k, :, GOOD] = rate, [1 - r for r in rate]

@@ -127,7 +127,7 @@ def _choose(sparse: list[np.ndarray], y: np.ndarray, most: int = CHOSEN) -> np.n
     return np.sort(best)
 
 
-def fit_chain(texts: list[bytes | None], labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...], l2: float = 0.3) -> Chain:
+def fit_chain(texts: list[bytes | None], labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...], l2: float = 0.1) -> Chain:
     """Fits the chain; labels is (texts, categories) of 0 and 1, folds says which fold holds each row out."""
     words = _Features()
     sparse = [words.of(t) for t in texts]
