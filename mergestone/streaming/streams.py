@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``; under a temporary one where that is unset on a single machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="mergestone-")
     return f"{base.rstrip('/')}/mergestone-stream-{uuid.uuid4().hex}"
