@@ -71,25 +71,30 @@ class VersionedTable:
             return []
         return sorted(int(f.getPath().getName().split(".")[0]) for f in self.fs.listStatus(place) if f.getPath().getName().endswith(".json"))
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The newest version not after the given one."""
+    def manifest(self, version: int | None = None) -> dict:
+        """What was published with the newest version not after the given one."""
         fit = [v for v in self.versions() if version is None or v <= version]
         if not fit:
             raise ValueError(f"{self.path} has no version" + ("" if version is None else f" up to {version}"))
-        manifest = json.loads(self.spark.read.text(f"{self.path}/_manifests/{fit[-1]:020d}.json").first()[0])
-        return self.spark.read.parquet(f"{self.path}/{manifest['data']}")
+        return json.loads(self.spark.read.text(f"{self.path}/_manifests/{fit[-1]:020d}.json").first()[0])
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The newest version not after the given one."""
+        found = self.manifest(version)
+        return self.spark.read.schema(found["schema"]).parquet(f"{self.path}/{found['data']}")
 
-    def commit(self, rows: DataFrame, version: int, partition_by: Sequence[str] = (), expected: int | None = None) -> None:
-        """Writes the rows and publishes them as a version greater than all others."""
+    def commit(self, rows: DataFrame, version: int, partition_by: Sequence[str] = (), expected: int | None = None, notes: dict | None = None) -> None:
+        """Writes the rows and publishes them as a version greater than all others, with notes for whoever reads its manifest."""
         before = self.versions()
         if before and version <= before[-1] or expected is not None and (before[-1] if before else 0) != expected:
             raise ValueError(f"version {version} can't follow {before[-1:] or 'none'}")
         data = f"data-{version:020d}-{uuid.uuid4().hex}"
         rows.write.partitionBy(*partition_by).parquet(f"{self.path}/{data}")
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         self.fs.mkdirs(self._path(f"{self.path}/_manifests"))
         staged = self._path(f"{self.path}/_staged-{uuid.uuid4().hex}")
         out = self.fs.create(staged)
-        out.write(bytearray(json.dumps({"version": version, "data": data}).encode()))
+        out.write(bytearray(json.dumps({"version": version, "data": data, "schema": schema, **(notes or {})}).encode()))
         out.close()
         final = self._path(f"{self.path}/_manifests/{version:020d}.json")
         if self.fs.exists(final) or not self.fs.rename(staged, final):

@@ -76,8 +76,8 @@ class TableDef:
         if [c.lower() for c in frame.columns] != self.column_names:
             raise ValueError(f"{self.name} has columns {self.column_names}, not {frame.columns}")
 
-    def conform(self, frame: DataFrame) -> DataFrame:
-        """The frame's columns in the table's types; out-of-range integers, unknown ENUM values and nulls in NOT NULL columns raise."""
+    def conform(self, frame: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
+        """The frame's columns in the table's types; out-of-range integers, unknown ENUM values and nulls in NOT NULL columns raise. ``others`` are kept as they are."""
         out = []
         for c in self.columns:
             value = F.col(c.name)
@@ -103,7 +103,7 @@ class TableDef:
             if not c.nullable and not c.auto_increment:
                 value = F.coalesce(value, F.raise_error(F.lit(f"null in NOT NULL column {c.name}")).cast(c.type.spark))
             out.append(value.alias(c.name))
-        return frame.select(*out)
+        return frame.select(*out, *others)
 
 
 def all_present(key: tuple[str, ...]) -> Column:
