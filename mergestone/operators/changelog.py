@@ -75,3 +75,36 @@ def drop_replayed(events: DataFrame, objects: Sequence[str], arrival: str) -> Da
 def fill_preimage(old: Column, new: Column) -> Column:
     """A preimage map that holds only the changed columns, with the others from the postimage map."""
     return F.map_concat(F.map_filter(new, lambda k, _: ~F.array_contains(F.map_keys(old), k)), old)
+
+
+def drop_replayed_stream(events: DataFrame, objects: Sequence[str]) -> DataFrame:
+    """``drop_replayed`` for a stream of events in order of arrival: kept rows of (stream, objects..., commit_version, payload).
+
+    The state of a stream is the version its resolved events reached and the
+    greatest version of each object since; objects that a resolved event has
+    passed are forgotten.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    kind = ", ".join(f"{c} {events.schema[c].dataType.simpleString()}" for c in ("stream", *objects, "commit_version", "payload"))
+    names = ["stream", *objects, "commit_version", "payload"]
+
+    def step(key, batches, state):
+        reached, seen = (state.get[0], dict(state.get[1])) if state.exists else (-1, {})
+        out = []
+        for batch in batches:
+            for row in batch.sort_values("arrival").itertuples(index=False):
+                version = int(row.commit_version)
+                if row.type_code == RESOLVED:
+                    reached = max(reached, version)
+                    seen = {k: v for k, v in seen.items() if v > reached}
+                    continue
+                one = "\x00".join(str(getattr(row, c)) for c in objects)
+                if version > max(reached, seen.get(one, -1)):
+                    seen[one] = version
+                    out.append([getattr(row, c) for c in names])
+        state.update((reached, seen))
+        yield pd.DataFrame(out, columns=names)
+
+    return events.groupBy("stream").applyInPandasWithState(step, kind, "reached long, seen map<string,long>", "append", GroupStateTimeout.NoTimeout)

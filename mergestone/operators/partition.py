@@ -111,3 +111,18 @@ def hex_bound(text: str) -> bytes:
     """A hexadecimal literal, 0x41 or X'41', as the bytes that bound a binary column."""
     text = text.strip()
     return bytes.fromhex(text[2:-1] if text[:2].upper() == "X'" else text[2:])
+
+
+def local_limit(rows: DataFrame, n: int) -> DataFrame:
+    """At most n rows of each partition, as a limit that a store applies for each split; the engine limits again."""
+    schema = rows.schema
+
+    def take(batches):
+        left = n
+        for batch in batches:
+            if left <= 0:
+                return
+            yield batch.slice(0, left)
+            left -= batch.num_rows
+
+    return rows.mapInArrow(take, schema)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mergestone.functions import predicates as P
-from mergestone.functions import scalar
+from mergestone.functions import scalar, statistics
 from mergestone.plans.base import Book, table
 
 book = Book()
@@ -244,6 +244,13 @@ def hist_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(bucket).agg(F.count("*").alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"))
 
 
+@book.add("""
+    SELECT CAST(floor((rn - 1) * 16 / t) AS BIGINT) AS bucket, min(v) AS low, max(v) AS high, count(*) AS n
+    FROM (SELECT l_quantity AS v, row_number() OVER (ORDER BY l_quantity) AS rn, count(*) OVER () AS t FROM lineitem) GROUP BY 1""")
+def hist_equi_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return statistics.equi_depth(table(spark, sf_dir, "lineitem"), "l_quantity", 16)
+
+
 @book.add()
 def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").agg(F.approx_count_distinct("l_partkey", 0.01).alias("parts"))

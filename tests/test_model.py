@@ -177,3 +177,31 @@ def test_catalog(spark):
     assert rows(spark.table("shop_test.people")) == [(1, "zs", None)]
     catalog.drop_table("shop_test", "people")
     catalog.drop_database("shop_test")
+
+
+def test_estimates(spark):
+    from mergestone.functions.statistics import CountMin, Histogram
+
+    rows_ = spark.range(10_000).select((F.col("id") % 100).alias("v")).unionByName(spark.createDataFrame([(None,)] * 5, "v long"))
+    held = Histogram.of(rows_, "v", 20)
+    assert sum(n for *_, n in held.buckets) == 10_000 and abs(held.less(30) - 3000) < 300 and abs(held.equal(7) - 100) < 60
+    assert abs(held.greater(89) - 1000) < 300 and abs(held.between(10, 20) - 1000) < 300
+    skewed = spark.range(10_000).select(F.when(F.col("id") < 5000, 1).otherwise(F.col("id") % 500).cast("long").alias("v"))
+    sketch = CountMin.parse(bytes(skewed.agg(F.count_min_sketch("v", F.lit(0.005), F.lit(0.95), F.lit(3)).alias("s")).first()["s"]))
+    assert sketch.total == 10_000 and 5010 <= sketch.most(1) and abs(sketch.estimate(1) - 5010) < 60 and abs(sketch.estimate(77) - 10) < 60
+    with pytest.raises(ValueError):
+        CountMin.parse(b"\x00" * 40)
+
+
+def test_replayed_events_of_a_stream(spark, tmp_path):
+    kind = "stream long, object string, commit_version long, type_code int, payload string, arrival long"
+    made = [(1, "a", 5, 1, "x", 0), (1, "a", 5, 1, "again", 1), (1, "b", 4, 1, "y", 2), (1, None, 6, 3, None, 3), (1, "b", 6, 1, "late", 4), (1, "a", 7, 1, "z", 5), (2, "a", 1, 1, "w", 6)]
+    frame = spark.createDataFrame(made, kind)
+    frame.coalesce(1).write.parquet(f"{tmp_path}/in")
+    out = streams.run_to_end(changelog.drop_replayed_stream(streams.read_stream(spark, f"{tmp_path}/in"), ["object"]))
+    batch = changelog.drop_replayed(frame, ["object"], "arrival")
+    assert sorted(r["payload"] for r in out.collect()) == sorted(r["payload"] for r in batch.collect()) == ["w", "x", "y", "z"]
+
+
+def test_local_limit(spark):
+    assert partition.local_limit(spark.range(0, 100, 1, 4), 3).count() == 12
