@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 #: Ranges whose values are put in order apart from each other.
-RANGES = 128
+RANGES = 32
 
 
 def equi_depth(rows: DataFrame, column: str, buckets: int) -> DataFrame:
@@ -23,8 +23,8 @@ def equi_depth(rows: DataFrame, column: str, buckets: int) -> DataFrame:
     total = rows.agg(F.count(column).alias("t"))  # one row
     # running counts: within ranges of the values first, then over the ranges, which approximate percentiles bound
     bounds = rows.agg(F.percentile_approx(column, [i / RANGES for i in range(1, RANGES)]).alias("b")).first()["b"] or []
-    limits = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast(f"array<{rows.schema[column].dataType.simpleString()}>")
-    ranged = values.withColumn("_p", F.size(F.filter(limits, lambda b: b < F.col("v"))))
+    below = [(F.col("v") > F.lit(b)).cast("int") for b in sorted(set(bounds))]
+    ranged = values.withColumn("_p", sum(below, F.lit(0)))
     own = F.sum("c").over(Window.partitionBy("_p").orderBy("v"))
     sums = ranged.groupBy("_p").agg(F.sum("c").alias("s"))
     before = F.coalesce(F.sum("s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
