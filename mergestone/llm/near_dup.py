@@ -309,10 +309,9 @@ def near_duplicates(
 
     # equal sets are one node, named by its smallest id
     named = features.filter("n > 0 AND id IS NOT NULL")
-    nodes = named.groupBy("f1", "f2", "n").agg(F.min("id").alias("id"))
-    member = scratch.save(
-        "member", named.select("id", "f1", "f2", "n").join(nodes.withColumnRenamed("id", "node"), ["f1", "f2", "n"]).select("id", "node")
-    )
+    # written before the join, so that the join deals both sides anew and a very large group of copies can be split
+    nodes = scratch.save("nodes", named.groupBy("f1", "f2", "n").agg(F.min("id").alias("node")))
+    member = scratch.save("member", named.select("id", "f1", "f2", "n").join(nodes, ["f1", "f2", "n"]).select("id", "node"))
     first = named.join(member.filter("id = node").select("id").distinct(), "id", "left_semi")
     exploded = first.select("id", "n", F.explode("bands").alias("key")).distinct()
     centres = exploded.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("size")).filter("size > 1")
@@ -339,7 +338,7 @@ def near_duplicates(
     stitched = contract(group.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
     everything = stitched.unionByName(more.select("a", "b")).unionByName(by_id.select("a", "b"))
     final = scratch.save("final", components(everything, scratch, "cc2"))
-    scratch.drop("member", "shared", "placed", "apart", "crowd", "crowd-texts", "groups", "star-near", "star-texts", "star-links", "rest-near", "rest-texts", "rest-links", "crowd-tokens")
+    scratch.drop("nodes", "member", "shared", "placed", "apart", "crowd", "crowd-texts", "groups", "star-near", "star-texts", "star-links", "rest-near", "rest-texts", "rest-links", "crowd-tokens")
 
     found = features.select("id", "n").join(final.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("component", "id")
