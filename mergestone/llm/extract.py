@@ -32,6 +32,8 @@ _AWAY = re.compile(
     r"login|signup|search|pagination|pager|tags|toolbar|copyright|skip|-hidden-|complementary|contentinfo|navigation|alert|dialog)\b|^-hidden-"
 )
 _MAIN = re.compile(r"\b(?:article\w*|post|post-body|entry|entry-content|story|main|main-content|content|body|text|articlebody|mw-parser-output)\b")
+#: Marks of an article's own title block, which are no page header.
+_TITLE = re.compile(r"\b(?:article|entry|post|story)-(?:header|head|title)\b")
 FEATURES = (
     "bias", "in_article", "in_main", "mark_main", "in_nav", "in_header", "in_footer", "in_aside", "in_form", "mark_away", "heading",
     "paragraph", "list_item", "log_length", "link_share", "sentence",
@@ -61,6 +63,7 @@ def _facts(element: Element) -> dict:
         elif name in ("form", "button", "fieldset", "dialog", "label", "legend"):
             own["form"] = 1
         if marks and name not in ("body", "html"):
+            marks = _TITLE.sub("", marks)
             spoken = re.sub(r"-", " ", marks) if "-hidden-" not in marks else marks
             if _AWAY.search(marks) or _AWAY.search(spoken):
                 own["away"] = 1

@@ -16,6 +16,8 @@ LAYOUTS = [
     "<body><article><h1>{h}</h1><p>{p0}</p><h2>{p5}</h2><p>{p1}</p><table><tr><td>{p2}</td><td>{p5}</td></tr></table></article><nav><a>{b0}</a><a>{b1}</a></nav><form>{b2}<button>{b3}</button></form></body>",
     "<body><ul><li><a>{b0}</a></li><li><a>{b1}</a></li><li><a>{b3}</a></li></ul><p>{p0}</p><p>{p1}</p><p>{p2}</p><div>{b4}</div></body>",
     "<body><article><p>{p0}</p><p class='advert'>{b8}</p><p>{p4}</p><ul><li>{p1}</li><li>{p5}</li></ul><div class='related'><a>{b0}</a></div><footer><p>{b9}</p></footer></article><aside class='widget'><p>{b7}</p></aside></body>",
+    "<body><nav><p>{b8}</p><span>{b0}</span></nav><article><h1>{h}</h1><p>{p0}</p><nav><p>{b9}</p></nav><p>{p1}</p><form><p>{b7}</p><label>{b2}</label></form><p>{p2}</p><footer>{b6}</footer></article></body>",
+    "<body><header><p>{b8}</p></header><form><p>{b9}</p></form><main><article><div class='entry-header'><h1>{h}</h1></div><p>{p0}</p><figure><figcaption>{p5}</figcaption></figure><p>{p1}</p></article><section class='comment-list'><article><p>{b7}</p></article></section></main><nav><ul><li>{b6}</li><li>{b1}</li></ul></nav></body>",
 ]
 
 
