@@ -35,8 +35,8 @@ BANDS, ROWS = 40, 5
 LEAST_AGREEMENT = 0.62
 #: Members up to which a bucket's remaining pairs are compared directly; larger ones go through the prefix-filtered join.
 SMALL = 50
-#: Elements handled together; bounds the permutations held by a worker to about 60 MB.
-CHUNK = 300_000
+#: Elements handled together; bounds the permutations held by a worker to about 30 MB.
+CHUNK = 150_000
 #: Bits of the filter of wanted documents: 8 MB whatever the input; a full filter only lets more rows pass.
 FILTER_BITS = 1 << 26
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -62,7 +62,7 @@ def superminhash(elements: np.ndarray, owner: np.ndarray, n: int, places: int, s
     if not keep.any():
         return sig.reshape(n, places)
     elements, base, owner, pick = elements[keep], base[keep], owner[keep], pick[keep]
-    order = np.tile(np.arange(places, dtype=np.uint16), (len(elements), 1))
+    order = np.tile(np.arange(places, dtype=np.uint8 if places <= 256 else np.uint16), (len(elements), 1))
     rows = np.arange(len(elements))
     order[rows, pick] = 0  # the first place and the picked one change places
     for j in range(1, places):

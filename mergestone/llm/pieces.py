@@ -146,7 +146,7 @@ class Pieces:
     through the library whole text by whole text.
     """
 
-    def __init__(self, data: bytes, most_parts: int = 300_000, longest_part: int = 100) -> None:
+    def __init__(self, data: bytes, most_parts: int = 80_000, longest_part: int = 100) -> None:
         self.model = Model(data)
         self.tokenizer = build(self.model)
         pieces = self.model.pieces
@@ -154,8 +154,9 @@ class Pieces:
         if self.by_parts:
             self.core = tokenizers.Tokenizer.from_str(self.tokenizer.to_str())
             self.core.normalizer = self.core.pre_tokenizer = None
-        self.known: dict[str, list[int]] = {}  # parts met lately
-        self.earlier: dict[str, list[int]] = {}  # the table before it, until this one is full
+        self.known: dict[str, tuple[int, ...]] = {}  # parts met lately
+        self.earlier: dict[str, tuple[int, ...]] = {}  # the table before it, until this one is full
+        self.ids = list(range(len(pieces)))  # one object for each id, whatever number of parts has it
         self.most_parts, self.longest_part = most_parts, longest_part
         self.bytes_of = [
             bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode() for piece, _, kind in pieces
@@ -182,7 +183,10 @@ class Pieces:
                     known[p] = self.earlier[p]
                 else:
                     fresh.append(p)
-        known.update(zip(fresh, (x.ids for x in self.core.encode_batch(fresh, add_special_tokens=False))))
+        one = self.ids.__getitem__
+        for start in range(0, len(fresh), 20_000):
+            some = fresh[start : start + 20_000]
+            known.update(zip(some, (tuple(map(one, x.ids)) for x in self.core.encode_batch(some, add_special_tokens=False))))
         out = []
         for parts in split:
             ids: list[int] = []
@@ -222,7 +226,7 @@ def _held(data: bytes) -> Pieces:
     return pieces
 
 
-def _rows(batch: pa.RecordBatch, characters: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _rows(batch: pa.RecordBatch, characters: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Runs of rows that hold a bounded number of characters, or one row."""
     sizes = batch.column(1).to_pylist()
     start = held = 0
