@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mergestone.llm.scratch import Scratch
+from mergestone.llm.scratch import Scratch, modest_batches
 from mergestone.llm.words import WordHashes, alnum_words, shingles
 
 WINDOW, TOKEN, BLOCK_WINDOWS = 10, 3, 200_000
@@ -148,6 +148,7 @@ def contamination(
     lack an id, are each answered. Other columns are ignored.
     """
     spark = documents.sparkSession
+    modest_batches(spark)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text"))
     items = items.filter("item IS NOT NULL AND text IS NOT NULL").distinct()

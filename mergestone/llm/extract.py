@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergestone.llm.html_blocks import Block, Element, blocks_of
+from mergestone.llm.scratch import modest_batches
 
 #: Capacity of one nat of classifier cost, and of smoothness edges.
 UNIT, NEXT, SIBLING = 1000, 250, 150
@@ -221,6 +222,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     ids and urls stay null; repeated rows are each answered; other columns are
     ignored.
     """
+    modest_batches(pages.sparkSession)
     raw = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     kind = f"id {raw.schema['id'].dataType.simpleString()}, url {raw.schema['url'].dataType.simpleString()}, text string"
     return raw.mapInArrow(_extract, kind).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

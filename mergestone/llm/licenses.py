@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mergestone.llm.scratch import modest_batches
 from mergestone.llm.words import alnum_words
 
 #: Phrases whose words must stand consecutively, and their labels.
@@ -148,6 +149,7 @@ def license_scan(
     closest. Null and wordless texts have none; a null id stays null; repeated
     rows are each answered; other columns are ignored.
     """
+    modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = f"id {docs.schema['id'].dataType.simpleString()}, {KIND}"
     return docs.mapInArrow(_scan((base, notices, per_edit, most_edits)), kind).withColumnRenamed("id", id_col)

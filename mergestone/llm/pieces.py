@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, decoders, models, normalizers, pre_tokenizers
 
+from mergestone.llm.scratch import modest_batches
+
 MARK = "▁"
 #: Fixed values of the format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -284,6 +286,7 @@ def encode(documents: DataFrame, model_path: str | None = None, id_col: str = "d
     repeated rows are each answered, other columns are ignored. model_path is
     read by the driver.
     """
+    modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = f"id {docs.schema['id'].dataType.simpleString()}, text string, ids array<int>"
     return docs.mapInArrow(_encode(_share(documents, model_path)), kind).withColumnRenamed("id", id_col)
@@ -318,5 +321,6 @@ def _digest(model):
 
 def digest(documents: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_pieces, ids_sha256 of the ids as little-endian int32, round_trip): encoded and decoded in one pass."""
+    modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return docs.mapInArrow(_digest(_share(documents, model_path)), "doc_id long, n_pieces long, ids_sha256 string, round_trip boolean")

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergestone.llm.linear import sigmoid
+from mergestone.llm.scratch import modest_batches
 
 BAD, GOOD, NONE = 0, 1, 2
 HEURISTICS = ("symbols", "capitals", "function_words", "bare_marks", "repeats", "exclamations", "word_length", "symbol_endings", "stutter", "few_words")
@@ -221,6 +222,7 @@ def _vote_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Scorer:
     """EM over the vote patterns of all documents, then the scorer on ``sample`` documents at most, in order of a hash."""
+    modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     counted = docs.select("text").mapInArrow(_vote_counts, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     rows = sorted((r["pattern"], r["n"]) for r in counted.collect())  # 3 ** 10 patterns at most
@@ -251,6 +253,7 @@ def quality(documents: DataFrame, model: Scorer, id_col: str = "doc_id", text_co
     Null and blank texts have no shapes and get the intercept's score. Null ids
     stay null, repeated rows are each answered, other columns are ignored.
     """
+    modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     held = documents.sparkSession.sparkContext.broadcast(model)  # a table of 4096 weights
     kind = f"id {docs.schema['id'].dataType.simpleString()}, score double, good boolean"
@@ -261,6 +264,7 @@ def only_good(documents: DataFrame, model: Scorer, text_col: str = "text") -> Da
     """The rows of documents, with all their columns, that score at least a half."""
     held = documents.sparkSession.sparkContext.broadcast(model)
     place = documents.columns.index(text_col)
+    modest_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = Shapes()

@@ -23,6 +23,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Rows of a batch that a Python worker is sent at once, at most; texts are long, and a batch is held several times over.
+BATCH_ROWS = 1000
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to ``BATCH_ROWS``; a lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 class Scratch:
     """Written tables that cut the lineage: a lost executor costs only the tasks it was running.
 
@@ -34,6 +45,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/mergestone-{label}-{uuid.uuid4().hex}"
+        modest_batches(spark)
         _OPEN.append(self)
 
     def save(self, name: str, frame: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mergestone.llm.linear import apply_logistic, fit_logistic
+from mergestone.llm.scratch import modest_batches
 from mergestone.llm.words import alnum_words
 
 BITS = 20
@@ -226,6 +227,7 @@ def toxicity(documents: DataFrame, model: Chain, id_col: str = "doc_id", text_co
     Null ids stay null, repeated rows are each answered, other columns are
     ignored.
     """
+    modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     held = documents.sparkSession.sparkContext.broadcast(model)  # a few hundred weights for each category
     columns = ", ".join(f"p_{x.name} double" for x in model.links)
@@ -237,6 +239,7 @@ def without_toxic(documents: DataFrame, model: Chain, text_col: str = "text") ->
     """The rows of documents, with all their columns, that the chain doesn't find toxic."""
     held = documents.sparkSession.sparkContext.broadcast(model)
     place = documents.columns.index(text_col)
+    modest_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Chosen(held.value)
