@@ -148,7 +148,7 @@ class Pieces:
     through the library whole text by whole text.
     """
 
-    def __init__(self, data: bytes, most_parts: int = 80_000, longest_part: int = 100) -> None:
+    def __init__(self, data: bytes, most_parts: int = 50_000, longest_part: int = 100) -> None:
         self.model = Model(data)
         self.tokenizer = build(self.model)
         pieces = self.model.pieces

@@ -49,7 +49,7 @@ class Flags(dict):
     """1 for a function word, 2 for a word of marks only, 4 for one that ends in a symbol, added up."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 150_000:
+        if len(self) >= 60_000:
             self.clear()
         self[word] = out = (
             (word.strip(b".,;:!?").lower() in FUNCTION_WORDS)
@@ -156,7 +156,7 @@ class Shapes(dict):
     """Place of each word's shape, and of function words, in the hashed table."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 150_000:
+        if len(self) >= 60_000:
             self.clear()
         plain = word.strip(b".,;:!?").lower()
         if plain in FUNCTION_WORDS and not word.isupper():

@@ -92,7 +92,7 @@ class _Chosen(dict):
         self.place = {int(f): i for i, f in enumerate(self.used)}
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= 200_000:
+        if len(self) >= 80_000:
             self.clear()
         self[word] = out = tuple(self.place[f] for f in _hashed(word) if f in self.place)
         return out

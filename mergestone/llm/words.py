@@ -24,7 +24,7 @@ def alnum_words(text: bytes) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of each word; forgets all when it has grown to ``most`` words."""
 
-    def __init__(self, most: int = 200_000) -> None:
+    def __init__(self, most: int = 100_000) -> None:
         super().__init__()
         self.most = most
 
