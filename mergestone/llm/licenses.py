@@ -3,8 +3,9 @@
 A notice of length L may differ in up to k characters. Split into k + 1 pieces,
 every such occurrence holds one piece unchanged (pigeonhole), so an
 Aho-Corasick automaton over all pieces finds every candidate place. The regex
-library's bounded-error matching then verifies the text around it and gives
-the edits and the span.
+library's bounded-error matching drops the places without an occurrence; edit
+distances from every start to every end around the others give the edits and
+the spans, so that notices next to each other are each found.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -58,7 +60,7 @@ class Scanner:
         self.notices, self.seeds = [], ahocorasick.Automaton()
         for phrase, label in notices.items():
             edits = max(1, min(most_edits, len(phrase) // per_edit))
-            self.notices.append((label, len(phrase), edits, regex.compile(f"(?b)(?:{regex.escape(phrase)}){{e<={edits}}}"), FIXED_WORDS & set(phrase.split())))
+            self.notices.append((label, phrase, edits, regex.compile(f"(?:{regex.escape(phrase)}){{e<={edits}}}"), FIXED_WORDS & set(phrase.split())))
             cuts = [len(phrase) * i // (edits + 1) for i in range(edits + 2)]
             for start, end in zip(cuts, cuts[1:]):
                 seed = phrase[start:end]
@@ -79,37 +81,50 @@ class Scanner:
 
     def spans(self, text: str) -> list[dict]:
         """Verified occurrences of the notices, best first within an overlap, in order of the text."""
-        windows: dict[int, list[list[int]]] = {}
+        places: set[tuple[int, int]] = set()
         if len(self.seeds):
-            for end, places in self.seeds.iter(text):
-                for number, offset, length in places:
-                    _, size, edits, _, _ = self.notices[number]
-                    first = end + 1 - length - offset
-                    low, high = max(0, first - 2 * edits), min(len(text), first + size + 2 * edits)
-                    held = windows.setdefault(number, [])
-                    if held and low <= held[-1][1] and low >= held[-1][0]:
-                        held[-1][1] = max(held[-1][1], high)
-                    else:
-                        held.append([low, high])
+            for end, seeds in self.seeds.iter(text):
+                places.update((number, end + 1 - length - offset) for number, offset, length in seeds)
+        least: dict[tuple[int, int, int], int] = {}
+        for number, first in places:
+            _, phrase, edits, pattern, fixed = self.notices[number]
+            # a seed that stands unchanged is moved by as many characters as there are edits, at most
+            low, high = max(0, first - edits), min(len(text), first + len(phrase) + edits)
+            if pattern.search(text, low, high) is None:
+                continue
+            for begin, finish, changed in near_places(phrase, text[low:high], 2 * edits + 1, edits):
+                start, end = text.rfind(" ", 0, low + begin + 1) + 1, text.find(" ", low + finish)
+                end = len(text) if end < 0 else end
+                if changed < least.get((number, start, end), edits + 1) and fixed <= set(text[start:end].split()):
+                    least[number, start, end] = changed
         out = []
-        for number, held in windows.items():
-            label, size, edits, pattern, fixed = self.notices[number]
-            for low, high in sorted(held):
-                for m in pattern.finditer(text, low, high):
-                    start, end = text.rfind(" ", 0, m.start() + 1) + 1, text.find(" ", m.end())
-                    end = len(text) if end < 0 else end
-                    found = text[start:end].strip()
-                    changed = sum(m.fuzzy_counts)
-                    if found and fixed <= set(found.split()):
-                        first = text.count(" ", 0, start) - 1
-                        out.append({"label": label, "first_word": first, "last_word": first + found.count(" "), "edits": changed, "similarity": 1 - changed / size, "found": found})
+        for (number, start, end), changed in least.items():
+            label, phrase, _, _, _ = self.notices[number]
+            found = text[start:end].strip()
+            first = text.count(" ", 0, start) - 1
+            out.append({"label": label, "first_word": first, "last_word": first + found.count(" "), "edits": changed, "similarity": 1 - changed / len(phrase), "found": found})
+        # of equally close ones the shortest, so that none takes a word of its neighbour
         kept: list[dict] = []
-        for span in sorted(out, key=lambda s: (s["edits"], s["first_word"], s["label"], s["last_word"])):
+        for span in sorted(out, key=lambda s: (s["edits"], s["last_word"] - s["first_word"], s["first_word"], s["label"], -s["similarity"])):
             if not any(k["label"] == span["label"] and k["first_word"] <= span["last_word"] and span["first_word"] <= k["last_word"] for k in kept):
                 kept.append(span)
         return sorted(kept, key=lambda s: (s["first_word"], s["label"]))
 
 
+def near_places(phrase: str, part: str, starts: int, edits: int) -> list[tuple[int, int, int]]:
+    """(start, end, edits) of each substring of part that begins in its first places and is that near to phrase."""
+    codes = np.frombuffer(part.encode("utf-32-le"), np.uint32)
+    along = np.arange(len(part) + 1)
+    begin = np.arange(min(starts, len(part)))[:, None]
+    far = len(phrase) + len(part)
+    line = np.where(along >= begin, along - begin, far)
+    for char in phrase:
+        after = line + 1
+        np.minimum(after[:, 1:], line[:, :-1] + (codes != ord(char)), out=after[:, 1:])
+        line = np.minimum.accumulate(after - along, axis=1) + along
+    return [(int(b), int(e), int(line[b, e])) for b, e in zip(*np.nonzero((line <= edits) & (along > begin)))]
+
+
 def _scan(make):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(*make)

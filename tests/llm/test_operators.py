@@ -335,6 +335,52 @@ def test_pigeonhole_misses_no_notice_within_the_bound():
             assert [s["label"] for s in found] == ["bsd"]
 
 
+def brute_spans(text, notices):
+    """Every substring within the bound, widened to whole words, the closest and then the shortest of those that overlap."""
+    least = {}
+    for phrase, label in notices.items():
+        bound = max(1, min(licenses.MOST_EDITS, len(phrase) // licenses.PER_EDIT))
+        for start in range(len(text)):
+            part = text[start : start + len(phrase) + bound]
+            line = list(range(len(part) + 1))
+            for i, x in enumerate(phrase, 1):
+                last, line[0] = line[0], i
+                for j, y in enumerate(part, 1):
+                    last, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, last + (x != y))
+            for j, changed in enumerate(line):
+                if j and changed <= bound:
+                    a, b = text.rfind(" ", 0, start + 1) + 1, text.find(" ", start + j)
+                    if licenses.FIXED_WORDS & set(phrase.split()) <= set(text[a:b].split()):
+                        words = (text.count(" ", 0, a) - 1, text.count(" ", 0, b) - 1)
+                        least[label, words] = min(changed, least.get((label, words), 99))
+    out = []
+    for (label, (a, b)), changed in sorted(least.items(), key=lambda x: (x[1], x[0][1][1] - x[0][1][0], x[0][1][0])):
+        if not any(own == label and c <= b and a <= d for own, c, d, _ in out):
+            out.append((label, a, b, changed))
+    return sorted(out, key=lambda x: (x[1], x[0]))
+
+
+def test_notices_next_to_each_other_are_all_found():
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES, licenses.PER_EDIT, licenses.MOST_EDITS)
+    got = scanner.spans(" relased under the mit licnse released under the mit license ")
+    assert [(s["label"], s["first_word"], s["last_word"], s["edits"]) for s in got] == [("mit", 0, 4, 2), ("mit", 5, 9, 0)]
+    both = scanner.spans(" licensed under the gnu genral publc license version 3 or licensed under the gnu general public license version 2 ")
+    assert [s["label"] for s in both] == ["gpl-3", "gpl-2"]
+    rng = random.Random(11)
+    notices = {p: label for p, label in licenses.NOTICES.items() if label in ("mit", "gpl-3", "gpl-2", "cc-by-sa") and len(p) < 60}
+    scanner = licenses.Scanner({}, notices, licenses.PER_EDIT, licenses.MOST_EDITS)
+    for _ in range(12):
+        words = []
+        for _ in range(4):
+            chars = list(rng.choice(list(notices)))
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(chars))
+                chars[at : at + 1] = rng.choice([[], ["q"], [chars[at], "q"]])
+            words += "".join(chars).split() + rng.choice([[], ["or"]])
+        line = f" {' '.join(words)} "
+        assert [(s["label"], s["first_word"], s["last_word"], s["edits"]) for s in scanner.spans(line)] == brute_spans(line, notices), line
+
+
 # --- 7: chat
 
 
