@@ -7,7 +7,9 @@ import re
 from dataclasses import dataclass, field
 
 #: Elements of HTML by their role here.
-RAW = {"script", "style", "template", "noscript", "svg", "math", "iframe", "object", "canvas", "audio", "video", "textarea", "select", "title", "head"}
+RAW = {"script", "style", "template", "noscript", "svg", "iframe", "object", "canvas", "audio", "video", "textarea", "select", "title", "head"}
+#: Those of RAW whose text runs to the page's end if no closing tag follows; of the others only the tag is left out then.
+TO_END = {"script", "style", "iframe", "textarea", "title"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "button", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
@@ -19,7 +21,9 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 ENDS |= dict.fromkeys(BLOCK - {"li", "dt", "dd", "tr", "td", "th", "option", "button"}, {"p"})
 SCOPE = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "div", "article", "section", "aside", "nav", "header", "footer", "main", "form", "blockquote", "body", "button"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+# a quote opens a value only right after =; elsewhere it is a character like any other
+_VALUE = r"=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>]++)?"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|=?[^\s/>=]++(?:\s*+{_VALUE})?|=)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
@@ -59,6 +63,7 @@ def blocks_of(page: str) -> list[Block]:
     root = Element("html", None)
     top, out, pieces = root, [], []
     linked = links = 0
+    unclosed: set[str] = set()  # elements of RAW that no closing tag follows
 
     def flush() -> None:
         nonlocal pieces, linked
@@ -108,8 +113,15 @@ def blocks_of(page: str) -> list[Block]:
                     break
             continue
         if name in RAW and name != "head":
-            closing = _RAW_END[name].search(page, at)
-            at = closing.end() if closing else end
+            if name == "svg" and m[3].endswith("/"):
+                continue
+            closing = None if name in unclosed else _RAW_END[name].search(page, at)
+            if closing:
+                at = closing.end()
+            elif name in TO_END:
+                at = end
+            else:
+                unclosed.add(name)
             continue
         if name == "br":
             pieces.append(" ")

@@ -456,6 +456,28 @@ def test_extraction(spark):
     assert extract.main_text(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("part", "text"),
+    [
+        ("<svg width='9'/>", ""), ("<svg viewBox=\"0 0 1 1\" />", ""), ("<math/>", ""), ("<svg><path d='x'/><title>icon</title></svg>", ""), ("<svg><path d='x'>", ""), ("<video src=x />", ""),
+        ("<a title=Bob's>his page</a>", "his page"), ("<b don't>bold</b>", "bold"), ("<b x\">bold</b>", "bold"), ("<a href=/x?y=\"z>here</a>", "here"), ("<b/'>bold</b>", "bold"),
+        ("<a title='a > b' rel = \"c > d\" href=x>here</a>", "here"), ("<a title=\"it's\">here</a>", "here"), ("<b title=''>bold</b>", "bold"), ("<b =' >bold</b>", "bold"),
+        ("<math><mi>a</mi><mo>=</mo><mn>2</mn><mspace/></math>", "a=2"), ("<script>'</b>' > 1</script>", ""), ("<script src=x />no</script>", ""),
+    ],
+)
+def test_no_text_is_lost_to_a_tag(part, text):
+    blocks = [b.text for b in blocks_of(f"<article><p>Before {part} after it.</p><p>It's the last one.</p></article>")]
+    assert blocks == [" ".join(f"Before {text} after it.".split()), "It's the last one."]
+
+
+def test_extraction_keeps_formulas_and_what_follows_odd_tags(spark):
+    lines = [f"This is paragraph number {i} of the article, and it has some words to read in it." for i in range(4)]
+    odd = ["<svg width='9'/>", "<a title=Bob's>", "<math><mi>a</mi><mo>=</mo><mn>2</mn></math>", "<i don't>"]
+    page = "<article>" + "".join(f"<p>{a}{b}</p>" for a, b in zip(odd, lines)) + "</article>"
+    got = extract.main_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first()["text"]
+    assert got == "\n".join([*lines[:2], "a=2" + lines[2], lines[3]])
+
+
 def test_min_cut_is_least():
     rng = random.Random(9)
     for _ in range(150):
