@@ -211,7 +211,7 @@ def repair_roles(
 
 
 def digest(repaired: DataFrame) -> DataFrame:
-    """For each conversation its cost, its repairs and a digest of its rendered pieces and their order within it."""
+    """For each conversation its cost, its repairs and a sum of hashes over its turns, which does not tell their order."""
     has = lambda word: F.sum(F.col("action").contains(word).cast("long"))
     return repaired.groupBy("conv_id").agg(
         F.count("*").alias("n_turns"),
@@ -220,5 +220,5 @@ def digest(repaired: DataFrame) -> DataFrame:
         has("relabel").alias("n_relabelled"),
         has("insert").alias("n_inserted"),
         F.sum(F.length("piece")).cast("long").alias("n_chars"),
-        F.bit_xor(F.xxhash64("piece")).alias("pieces_hash"),
+        F.sum(F.xxhash64("role", "action", "inserted", "piece").cast("decimal(38,0)")).alias("pieces_hash"),
     )

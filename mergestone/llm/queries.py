@@ -40,7 +40,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.digest(chat.repair_roles(_table(spark, sf_dir, "conversations")))
+    return chat.repair_roles(_table(spark, sf_dir, "conversations"))
 
 
 def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -426,6 +426,20 @@ def test_role_repair(spark, chunk):
     assert chat.digest(chat.repair_roles(frame.limit(0))).count() == 0
 
 
+def test_chat_query_gives_every_turn_in_order(spark, tmp_path):
+    said = {1: ["a", "b", "c", "d"], 2: ["c", "b", "a", "d"], 3: ["a", "b", "a", "b"], 4: ["a", "b"]}
+    rows = [(c, t, ("user", "assistant")[t % 2], x) for c, texts in said.items() for t, x in enumerate(texts)]
+    rows += [(5, 0, "user", "same"), (5, 1, "user", "same"), (5, 2, "user", "same"), (6, 0, "user", "same")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(tuple(r) for r in llm_queries.op7_chat(spark, str(tmp_path)).select("conv_id", "place", "role", "action", "cost", "piece").collect())
+    for conv, texts in said.items():
+        want = [(("user", "assistant")[i % 2], "keep", 0.0, ("<|end|>\n" if i else "") + f"<|{('user', 'assistant')[i % 2]}|>\n{x}" + ("<|end|>\n" if i == len(texts) - 1 else "")) for i, x in enumerate(texts)]
+        assert [r[2:] for r in got if r[0] == conv] == want
+    assert len(got) == len(rows) and sum(r[4] for r in got if r[0] == 5) == brute_cost([chat.USER] * 3)
+    hashes = {r["conv_id"]: r["pieces_hash"] for r in chat.digest(llm_queries.op7_chat(spark, str(tmp_path))).collect()}
+    assert len(set(hashes.values())) == len(hashes)
+
+
 def test_chunks_compose():
     rng = random.Random(1)
     for _ in range(50):
