@@ -1,5 +1,6 @@
 import datetime
 import json
+import os
 import struct
 
 import pytest
@@ -11,6 +12,7 @@ from mergestone.catalog import Catalog
 from mergestone.functions import predicates as P
 from mergestone.functions import scalar
 from mergestone.operators import changelog, partition
+from mergestone.plans import changes
 from mergestone.sources import change_events
 from mergestone.streaming import streams
 from mergestone.tabledef import TableDef
@@ -205,3 +207,17 @@ def test_replayed_events_of_a_stream(spark, tmp_path):
 
 def test_local_limit(spark):
     assert partition.local_limit(spark.range(0, 100, 1, 4), 3).count() == 12
+
+
+def test_stream_dedup_over_a_long_table_in_several_batches(spark, tmp_path, monkeypatch):
+    batches = [[(1, "view", "2024-01-01")], [(2, "view", "2024-06-01")], [(1, "view", "2024-06-02"), (3, "click", "2024-01-02"), (None, "view", None)], [(2, "view", "2024-12-01"), (None, "view", "2024-12-02")]]
+    (tmp_path / "events.parquet").mkdir()
+    for number, made in enumerate(batches):
+        frame = spark.createDataFrame(made, "user_id long, event_type string, ts string")
+        frame.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_path}/{number}")
+        (part,) = (tmp_path / str(number)).glob("*.parquet")
+        os.utime(part.rename(tmp_path / f"events.parquet/{number}.parquet"), (1000 + number, 1000 + number))
+    read = streams.read_stream
+    monkeypatch.setattr(streams, "read_stream", lambda spark, path: read(spark, path, files_per_batch=1))
+    got = rows(changes.stream_dedup_watermark(spark, str(tmp_path)))
+    assert got == [(1, "view"), (2, "view"), (3, "click"), (None, "view")]
