@@ -1,8 +1,8 @@
 """WARC not-modified revisits: resolved by an as-of join on the canonical URL.
 
 A revisit record (HTTP 304) has no body. It stands for the latest full response
-that was captured strictly earlier from the same canonical URL, if the
-validators agree: an ETag on both sides must be equal (weak comparison), else
+that was captured strictly earlier from the same canonical URL, or for the
+latest of all if its own time is unknown, if the validators agree: an ETag on both sides must be equal (weak comparison), else
 a Last-Modified on both sides. The headers are the response's, updated by those
 that a 304 may change.
 
@@ -71,8 +71,10 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
     ``resolved``, ``no response`` (none earlier), ``changed`` (validators
     differ) or ``no validator`` (none that both have); only resolved revisits
     have headers and n_chars of the response. A null revisit flag counts as a
-    full response; null headers as none. Ids are taken as unique; rows that
-    repeat one are each joined. Other columns are ignored.
+    full response; null headers as none. A revisit without a time counts as later
+    than every response, a response without a time or id is none's. Ids of
+    revisits with a time are taken as unique; rows that repeat one are each
+    joined. Other columns are ignored.
     """
     rows = records.select(
         F.col("id").cast("long").alias("id"),
@@ -83,7 +85,12 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
         F.col("n_chars").cast("long").alias("n_chars"),
     )
     matched = latest_earlier(rows.select("id", "key", "at", "revisit"), slices)
-    asked = rows.filter("revisit").select("id", F.col("key").alias("url_key"), F.col("headers").alias("new")).join(matched, "id", "left")
+    asked = rows.filter("revisit").select("id", F.col("key").alias("url_key"), F.col("headers").alias("new"), "at")
+    timed = asked.filter("at IS NOT NULL").drop("at").join(matched, "id", "left")
+    newest = rows.filter("NOT revisit AND id IS NOT NULL AND at IS NOT NULL AND key IS NOT NULL").groupBy(F.col("key").alias("url_key"))
+    newest = newest.agg(F.max_by("id", F.struct("at", "id")).alias("response_id"))
+    timeless = asked.filter("at IS NULL").drop("at").join(newest, "url_key", "left")
+    asked = timed.unionByName(timeless)
     full = rows.filter("NOT revisit").select(F.col("id").alias("response_id"), F.col("headers").alias("old"), "n_chars")
     both = asked.join(full, "response_id", "left")
     tag = [F.element_at(h, "etag") for h in ("new", "old")]
@@ -106,7 +113,8 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
     """WARC-like records made of a table of pages: a response of each page and a later capture that was not modified.
 
     Some revisits write the URL in another form, come before their response,
-    have another ETag, or have only a date.
+    have another ETag, or have only a date. A page without an id gives records
+    without id and time.
     """
     p, tag = F.col("page_id"), F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 12), F.lit('"'))
     date = F.concat(F.lit("day "), p % 28)
@@ -124,13 +132,13 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
     )
     late = F.when(p % 11 == 0, p * 10 - 5).otherwise(p * 10 + 55)
     revisit = pages.select((p * 2 + 1).alias("id"), other.alias("url"), late.alias("at"), F.lit(True).alias("revisit"), headers.alias("headers"), F.lit(0).cast("long").alias("n_chars"))
-    return response.unionByName(revisit).filter("id IS NOT NULL")
+    return response.unionByName(revisit)
 
 
 def digest(resolved: DataFrame) -> DataFrame:
-    """The rows with their headers as one text, in order of the names."""
+    """The rows with their headers as one text, in order of the names; null for a record without an id, whose date is unknown."""
     lines = F.transform(F.array_sort(F.map_keys("headers")), lambda k: F.concat(k, F.lit(": "), F.element_at("headers", k)))
-    return resolved.select("id", "url_key", "response_id", "outcome", F.array_join(lines, "; ").alias("headers"), "n_chars")
+    return resolved.select("id", "url_key", "response_id", "outcome", F.when(F.col("id").isNotNull(), F.array_join(lines, "; ")).alias("headers"), "n_chars")
 
 
 ORACLE_SQL = r"""

@@ -96,6 +96,19 @@ def test_revisits(spark):
     assert warc.resolve_revisits(spark.createDataFrame([], kind)).count() == 0
 
 
+def test_revisits_of_pages_without_an_id_match_the_sql(spark, tmp_path):
+    from compare import same
+
+    rows = [(i, f"https://a.com/{i % 6}", f"<p>{i % 9}</p>") for i in range(60)]
+    rows += [(None, f"https://www.a.com/{i}", f"<p>{n}</p>") for i in range(8) for n in range(9)] + [(None, "https://a.com/3", "<p>3</p>")] * 2
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/made")
+    (part,) = (tmp_path / "made").glob("*.parquet")
+    part.rename(tmp_path / "pages.parquet")
+    same(spark, llm_queries.op2_revisits, warc.ORACLE_SQL, str(tmp_path))
+    found = [r["outcome"] for r in llm_queries.op2_revisits(spark, str(tmp_path)).filter("id IS NULL").collect()]
+    assert len(found) == 74 and {"resolved", "changed", "no response"} == set(found)
+
+
 # --- 3 and 10: classifiers
 
 
