@@ -7,9 +7,10 @@ prefix token, the token's place in the window gives the only possible start;
 the start and the length must lie in the document (positional and length
 bounds), and the words there must equal the window's (verification).
 
-The benchmark is searched in blocks of at most ``block_windows`` windows or
-one item, whichever is more, so the index that each pass broadcasts is bounded;
-each pass adds its findings to the rows and nothing is shuffled but counts.
+The benchmark is searched in blocks of about ``block_windows`` windows, so the
+index that each pass collects and broadcasts is bounded, and a very long item
+is cut into parts that share no window and fall into several blocks; each pass
+adds its findings to the rows and nothing is shuffled but counts.
 """
 
 from __future__ import annotations
@@ -25,8 +26,11 @@ from pyspark.sql import functions as F
 
 from mergestone.llm.scratch import Scratch, modest_batches
 from mergestone.llm.words import WordHashes, alnum_words, shingles
+from mergestone.llm.worker import tidy
 
 WINDOW, TOKEN, BLOCK_WINDOWS = 10, 3, 200_000
+#: Windows of a part of an item, at most.
+PART = 2000
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
@@ -104,6 +108,24 @@ def _merged(spans: list[dict]) -> list[dict]:
     return out
 
 
+def _parts(window: int):
+    """Items as parts of words between spaces, and the windows of each; together the parts have every window once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, parts, counts = [], [], []
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                words = alnum_words(text or b"")
+                total = max(1, len(words) - window + 1) if words else 0
+                for start in range(0, total, PART):
+                    items.append(item)
+                    parts.append(b" ".join(words[start : start + PART + window - 1]).decode())
+                    counts.append(min(PART, total - start))
+            yield pa.RecordBatch.from_arrays([pa.array(items, batch.column("item").type), pa.array(parts, pa.string()), pa.array(counts, pa.int64())], names=["item", "text", "n"])
+
+    return run
+
+
 def _index(spark, documents: DataFrame, items: list, window: int, token: int):
     """The broadcast index of a block of items: prefix tokens, and where they stand in which windows."""
     names: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
@@ -117,7 +139,7 @@ def _index(spark, documents: DataFrame, items: list, window: int, token: int):
     counts: dict[int, int] = {}
     if len(keys):
         wanted = spark.sparkContext.broadcast((widths, keys))
-        counted = documents.select("text").mapInArrow(_counter(wanted, token), "token long, n long")
+        counted = documents.select("text").mapInArrow(tidy(_counter(wanted, token)), "token long, n long")
         counts = {r["token"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in counted.groupBy("token").agg(F.sum("n").alias("n")).toLocalIterator()}
     prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for number, own in enumerate(tokens):
@@ -145,21 +167,23 @@ def contamination(
     Null and wordless texts have no words and no spans; null and wordless items
     no windows. An item without an id can't be named and takes no part; rows
     that repeat an item id add windows to it. Rows that repeat a document, or
-    lack an id, are each answered. Other columns are ignored.
+    lack an id, are each answered. Very long texts and items are read whole.
+    Other columns are ignored, empty tables give no rows or no spans.
     """
     spark = documents.sparkSession
     modest_batches(spark)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text"))
     items = items.filter("item IS NOT NULL AND text IS NOT NULL").distinct()
-    total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-int(total) // (2 * block_windows)))  # a word and its gap are two characters at least
+    parts = items.mapInArrow(tidy(_parts(window)), f"item {items.schema['item'].dataType.simpleString()}, text string, n long")
+    total = parts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    blocks = max(1, -(-int(total) // block_windows))
     out = docs.withColumns({"spans": F.expr("CAST(array() AS array<struct<first:long,last:long>>)"), "items": F.expr("CAST(array() AS array<string>)")})
     scratch = Scratch(spark, "leaks") if blocks > 1 else None
     for k in range(blocks):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+        part = parts if blocks == 1 else parts.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         index = _index(spark, docs, [(r["item"], r["text"]) for r in part.toLocalIterator()], window, token)
-        out = out.mapInArrow(_search(index), out.schema)
+        out = out.mapInArrow(tidy(_search(index)), out.schema)
         if scratch:
             out = scratch.save(f"block-{k}", out)
             if k:
@@ -188,7 +212,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digest(found: DataFrame) -> DataFrame:
     """contamination()'s rows as (doc_id, n_words, n_hit, n_items, items_sha256, contaminated)."""
     kind = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return found.mapInArrow(_digest, kind)
+    return found.mapInArrow(tidy(_digest), kind)
 
 
 ORACLE_SQL = r"""

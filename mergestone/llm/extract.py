@@ -22,11 +22,10 @@ from pyspark.sql import functions as F
 
 from mergestone.llm.html_blocks import Block, Element, blocks_of
 from mergestone.llm.scratch import modest_batches
+from mergestone.llm.worker import tidy
 
 #: Capacity of one nat of classifier cost, and of smoothness edges.
 UNIT, NEXT, SIBLING = 1000, 250, 150
-#: Classifier costs beyond this count as this.
-MOST = 9.0
 _AWAY = re.compile(
     r"\b(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice|gdpr|popup|modal|subscribe|newsletter|nav\w*|menu\w*|breadcrumb\w*|"
     r"header|masthead|footer|sidebar|side|aside|widget|related|recommend\w*|share|sharing|social|comment\w*|respons\w*|disqus|reply|replies|"
@@ -192,10 +191,11 @@ def content_blocks(page: str) -> list[Block]:
         return []
     w, source, sink = weights(), [], []
     for block in blocks:
-        z = max(-MOST, min(MOST, sum(a * b for a, b in zip(w, features(block)))))
+        z = sum(a * b for a, b in zip(w, features(block)))
+        least = math.log1p(math.exp(-abs(z)))
         # cost of calling it boilerplate: -log P(boilerplate); of calling it content: -log P(content)
-        source.append(round(UNIT * math.log1p(math.exp(z))))
-        sink.append(round(UNIT * math.log1p(math.exp(-z))))
+        source.append(round(UNIT * (max(z, 0.0) + least)))
+        sink.append(round(UNIT * (max(-z, 0.0) + least)))
     edges, last = [], {}
     for i, block in enumerate(blocks):
         if i:
@@ -218,11 +218,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id_col, url_col, text, n_chars): each page's main text, its blocks joined by a newline.
 
-    Null and empty pages, and pages without main text, give an empty text. Null
-    ids and urls stay null; repeated rows are each answered; other columns are
-    ignored.
+    Null and empty pages, and pages without main text, give an empty text. Very
+    long pages are read whole, tags without a partner cost no more than others.
+    Null ids and urls stay null; repeated rows are each answered; other columns
+    are ignored; an empty table gives none.
     """
     modest_batches(pages.sparkSession)
     raw = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     kind = f"id {raw.schema['id'].dataType.simpleString()}, url {raw.schema['url'].dataType.simpleString()}, text string"
-    return raw.mapInArrow(_extract, kind).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
+    return raw.mapInArrow(tidy(_extract), kind).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 #: Elements of HTML by their role here.
@@ -34,6 +35,7 @@ class Element:
     parent: "Element | None"
     marks: str = ""  # words of class, id and role
     facts: dict = field(default_factory=dict)  # kept by the classifier
+    block: "Element | None" = None  # the innermost block element, itself included
 
 
 @dataclass(slots=True)
@@ -61,6 +63,8 @@ def _marks(attributes: str) -> str:
 def blocks_of(page: str) -> list[Block]:
     """The page's non-empty blocks in page order: references decoded, white space folded, comments and raw elements left out."""
     root = Element("html", None)
+    root.block = root
+    open_now: Counter[str] = Counter()  # elements by name, so that a tag without a partner costs no walk
     top, out, pieces = root, [], []
     linked = links = 0
     unclosed: set[str] = set()  # elements of RAW that no closing tag follows
@@ -69,9 +73,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal pieces, linked
         text = " ".join("".join(pieces).split())
         if text:
-            own = top
-            while own.name not in BLOCK and own.parent is not None:
-                own = own.parent
+            own = top.block
             out.append(Block(text, own, own.name, min(linked, len(text)), len(out)))
         pieces, linked = [], 0
 
@@ -83,6 +85,15 @@ def blocks_of(page: str) -> list[Block]:
         if links:
             linked += len(text)
 
+    def close(one: Element) -> None:
+        nonlocal top, links
+        while True:
+            links -= top.name == "a"
+            open_now[top.name] -= 1
+            done, top = top is one, top.parent
+            if done:
+                break
+
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -97,20 +108,14 @@ def blocks_of(page: str) -> list[Block]:
             continue
         name = name.lower()
         if m[1]:  # a closing tag ends the nearest open element of its name; stray ones nothing
-            one = top
-            while one is not None and one.name != name:
-                one = one.parent
-            if one is None or one is root:
-                if name in BLOCK:
-                    flush()
-                continue
             if name in BLOCK:
                 flush()
-            while True:
-                links -= top.name == "a"
-                done, top = top is one, top.parent
-                if done:
-                    break
+            if not open_now[name]:
+                continue
+            one = top
+            while one.name != name:
+                one = one.parent
+            close(one)
             continue
         if name in RAW and name != "head":
             if name == "svg" and m[3].endswith("/"):
@@ -135,17 +140,16 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCK:
             flush()
             ends, one = ENDS.get(name, ()), top
-            while one is not root and one.name not in ends and (one.name not in SCOPE):
-                one = one.parent
-            if one.name in ends:
-                while True:
-                    links -= top.name == "a"
-                    done, top = top is one, top.parent
-                    if done:
-                        break
+            if any(open_now[e] for e in ends):
+                while one is not root and one.name not in ends and (one.name not in SCOPE):
+                    one = one.parent
+                if one.name in ends:
+                    close(one)
         if m[3].endswith("/") and name not in BLOCK:
             continue
         top = Element(name, top, _marks(m[3]))
+        top.block = top if name in BLOCK else top.parent.block
+        open_now[name] += 1
         links += name == "a"
     flush()
     return out

@@ -10,6 +10,7 @@ the spans, so that notices next to each other are each found.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from mergestone.llm.scratch import modest_batches
 from mergestone.llm.words import alnum_words
+from mergestone.llm.worker import tidy
 
 #: Phrases whose words must stand consecutively, and their labels.
 BASE = {
@@ -71,13 +73,16 @@ class Scanner:
 
     def base_places(self, line: bytes) -> list[tuple[int, str]]:
         """(word, label) of each place of a base phrase; line: the words, each between spaces."""
-        out = []
+        found = []
         for phrase, label in self.base:
             at = line.find(phrase)
             while at >= 0:
-                out.append((line.count(b" ", 0, at), label))
+                found.append((at, label))
                 at = line.find(phrase, at + 1)
-        return sorted(out)
+        if not found:
+            return []
+        spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20)
+        return sorted((int(np.searchsorted(spaces, at)), label) for at, label in found)
 
     def spans(self, text: str) -> list[dict]:
         """Verified occurrences of the notices, best first within an overlap, in order of the text."""
@@ -97,16 +102,23 @@ class Scanner:
                 end = len(text) if end < 0 else end
                 if changed < least.get((number, start, end), edits + 1) and fixed <= set(text[start:end].split()):
                     least[number, start, end] = changed
+        if not least:
+            return []
+        spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 0x20)
         out = []
         for (number, start, end), changed in least.items():
             label, phrase, _, _, _ = self.notices[number]
             found = text[start:end].strip()
-            first = text.count(" ", 0, start) - 1
+            first = int(np.searchsorted(spaces, start)) - 1
             out.append({"label": label, "first_word": first, "last_word": first + found.count(" "), "edits": changed, "similarity": 1 - changed / len(phrase), "found": found})
         # of equally close ones the shortest, so that none takes a word of its neighbour
         kept: list[dict] = []
+        taken: dict[str, list[tuple[int, int]]] = {}  # of each label the spans kept, in order; they don't overlap
         for span in sorted(out, key=lambda s: (s["edits"], s["last_word"] - s["first_word"], s["first_word"], s["label"], -s["similarity"])):
-            if not any(k["label"] == span["label"] and k["first_word"] <= span["last_word"] and span["first_word"] <= k["last_word"] for k in kept):
+            own = taken.setdefault(span["label"], [])
+            at = bisect.bisect(own, (span["first_word"], span["last_word"]))
+            if not (at and own[at - 1][1] >= span["first_word"] or at < len(own) and own[at][0] <= span["last_word"]):
+                own.insert(at, (span["first_word"], span["last_word"]))
                 kept.append(span)
         return sorted(kept, key=lambda s: (s["first_word"], s["label"]))
 
@@ -161,13 +173,14 @@ def license_scan(
     ``base`` holds every place (word from 0) of a base phrase; ``spans`` the
     fuzzy occurrences with label, first and last word, edits, similarity and
     the words found. Occurrences of one label that overlap count once, the
-    closest. Null and wordless texts have none; a null id stays null; repeated
-    rows are each answered; other columns are ignored.
+    closest. Null and wordless texts have none; very long texts are read whole,
+    in time in proportion to their length; a null id stays null; repeated rows
+    are each answered; other columns are ignored; an empty table gives none.
     """
     modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = f"id {docs.schema['id'].dataType.simpleString()}, {KIND}"
-    return docs.mapInArrow(_scan((base, notices, per_edit, most_edits)), kind).withColumnRenamed("id", id_col)
+    return docs.mapInArrow(tidy(_scan((base, notices, per_edit, most_edits))), kind).withColumnRenamed("id", id_col)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from mergestone.llm.components import components, contract
 from mergestone.llm.scratch import Scratch
+from mergestone.llm.worker import tidy
 from mergestone.llm.words import GOLDEN, WordHashes, mix, shingle_set
 
 BANDS, ROWS = 40, 5
@@ -199,10 +200,10 @@ def _wanted(spark: SparkSession, docs: DataFrame, pairs: DataFrame) -> DataFrame
             hit = held.value[slot >> 3] >> (slot & 7) & 1
             yield batch.select(["id", "text"]).filter(pa.array(hit.astype(bool)))
 
-    return docs.withColumn("slot", _slot("id")).mapInArrow(some, "id long, text string")
+    return docs.withColumn("slot", _slot("id")).mapInArrow(tidy(some), "id long, text string")
 
 
-def _links(spark, docs, features, pairs, shingle: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+def _links(spark, docs, features, pairs, shingle: int, percent: int, scratch: Scratch, name: str, agreement: float = LEAST_AGREEMENT) -> DataFrame:
     """Of candidate pairs (a, b), those that are links, verified on full sets."""
     sized = features.select("id", "n", "sig")
     a = sized.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
@@ -212,14 +213,16 @@ def _links(spark, docs, features, pairs, shingle: int, percent: int, scratch: Sc
         .join(b, "b")
         .filter(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
         .select("a", "b", "sa", "sb")
-        .mapInArrow(_agree(LEAST_AGREEMENT * percent / 80), "a long, b long")
+        .mapInArrow(tidy(_agree(agreement * percent / 80)), "a long, b long")
     )
     near = scratch.save(f"{name}-near", near.distinct())
     texts = scratch.save(f"{name}-texts", _wanted(spark, docs, near))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    sure = near.join(left, "a").join(right, "b").mapInArrow(_confirm(shingle, percent), "a long, b long")
-    return scratch.save(f"{name}-links", sure)
+    sure = near.join(left, "a").join(right, "b").mapInArrow(tidy(_confirm(shingle, percent)), "a long, b long")
+    links = scratch.save(f"{name}-links", sure)
+    scratch.drop(f"{name}-near", f"{name}-texts")
+    return links
 
 
 def _slots(tokens: np.ndarray) -> np.ndarray:
@@ -272,10 +275,10 @@ def _crowded(spark, docs: DataFrame, crowd: DataFrame, shingle: int, percent: in
     """
     texts = scratch.save("crowd-texts", _wanted(spark, docs, crowd.select(F.col("id").alias("a"), F.col("id").alias("b"))).join(crowd.select("id").distinct(), "id", "left_semi"))
     table = np.zeros(1 << 18, np.int64)
-    for row in texts.mapInArrow(_tally(shingle), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in texts.mapInArrow(tidy(_tally(shingle)), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():
         table[row["slot"]] = row["n"]
-    counts = spark.sparkContext.broadcast(table)
-    tokens = texts.mapInArrow(_prefixes(shingle, percent, counts), "id long, token long, p long, n long").join(crowd.select("id", "c").distinct(), "id")
+    counts = spark.sparkContext.broadcast(table)  # 2 MB whatever the input
+    tokens = texts.mapInArrow(tidy(_prefixes(shingle, percent, counts)), "id long, token long, p long, n long").join(crowd.select("id", "c").distinct(), "id")
     left = scratch.save("crowd-tokens", tokens).withColumnRenamed("id", "a")
     right = left.select(F.col("a").alias("b"), "token", F.col("p").alias("q"), F.col("n").alias("o"), F.col("c").alias("d"))
     fits = F.expr(f"c < d AND 100 * least(n, o) >= {percent} * greatest(n, o) AND {100 + percent} * least(n - p, o - q) >= {percent} * (n + o)")
@@ -290,6 +293,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = ROWS,
+    exact: bool = False,
 ) -> DataFrame:
     """(id_col, n_shingles, component_id, kept), one row for each input row.
 
@@ -299,33 +303,68 @@ def near_duplicates(
     links reach. Null and blank texts have no shingles and no links. Rows that
     share an id are one document, linked if any of their texts is. A row without
     an id can't be named: it takes no part, has a null component and is kept.
-    Other columns are ignored, whatever their names; an empty table gives none.
+    Very long texts are read whole; a worker holds one text's set beside the
+    chunk it fills. Other columns are ignored, whatever their names; an empty
+    table gives none.
+
+    With ``exact`` candidates come from the prefix-filtered join alone, over all
+    distinct sets, so no link is left to chance; it costs more on corpora with
+    many frequent shingles. Otherwise a bucket's pairs that are still apart are
+    compared one by one up to ``SMALL`` members and by the prefix-filtered join
+    above; both find every pair of the bucket.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "neardup")
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id long, n long, f1 long, f2 long, bands array<long>, sig binary"
-    features = scratch.save("features", docs.mapInArrow(_features(shingle, bands, rows), schema))
+    features = scratch.save("features", docs.mapInArrow(tidy(_features(shingle, bands, rows)), schema))
 
     # equal sets are one node, named by its smallest id
     named = features.filter("n > 0 AND id IS NOT NULL")
     # written before the join, so that the join deals both sides anew and a very large group of copies can be split
     nodes = scratch.save("nodes", named.groupBy("f1", "f2", "n").agg(F.min("id").alias("node")))
     member = scratch.save("member", named.select("id", "f1", "f2", "n").join(nodes, ["f1", "f2", "n"]).select("id", "node"))
-    first = named.join(member.filter("id = node").select("id").distinct(), "id", "left_semi")
-    exploded = first.select("id", "n", F.explode("bands").alias("key")).distinct()
+    scratch.drop("nodes")
+    by_id = member.filter("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))  # ids with several texts, too
+    first = member.filter("id = node").select("id").distinct()
+    if exact:
+        alone = named.select("id", "n").join(first, "id", "left_semi").select("id", "n", F.col("id").alias("c")).distinct()
+        pairs = _crowded(spark, docs, scratch.save("crowd", alone), shingle, percent, scratch).distinct()
+        links = _links(spark, docs, features, pairs, shingle, percent, scratch, "all", agreement=0.0)
+    else:
+        links = _banded(spark, docs, features, first, shingle, percent, scratch)
+    final = scratch.save("final", components(links.unionByName(by_id), scratch, "cc2"))
+    found = features.select("id", "n").join(final.withColumnRenamed("node", "id"), "id", "left")
+    found = scratch.save("found", found.select("id", "n", F.coalesce("component", "id").alias("component")))
+    scratch.keep_only("found")
+    return found.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
+    )
+
+
+def _banded(spark: SparkSession, docs: DataFrame, features: DataFrame, first: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) with the components that all links among pairs that share a band give; first: (id) of the nodes."""
+    # (key, id) alone is dealt out, as a document has as many rows as bands; sizes join the pairs that remain
+    exploded = features.filter("n > 0").select("id", "bands").join(first, "id", "left_semi").select("id", F.explode("bands").alias("key"))
+    exploded = scratch.save("exploded", exploded)
     centres = exploded.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("size")).filter("size > 1")
-    shared = scratch.save("shared", exploded.join(centres, "key"))
+    shared = scratch.save("shared", exploded.join(scratch.save("centres", centres), "key"))
+    scratch.drop("exploded", "centres")
     stars = shared.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = _links(spark, docs, features, stars, shingle, percent, scratch, "star")
-    by_id = member.filter("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))  # ids with several texts, too
     group = scratch.save("groups", components(links, scratch, "cc1"))
 
     # pairs of a bucket that are still apart
     placed = shared.join(group.select(F.col("node").alias("id"), "component"), "id", "left")
-    placed = scratch.save("placed", placed.select("key", "id", "n", "size", F.coalesce("component", "id").alias("c")))
+    placed = scratch.save("placed", placed.select("key", "id", "size", F.coalesce("component", "id").alias("c")))
     mixed = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("key")
-    apart = scratch.save("apart", placed.join(mixed, "key"))
+    sizes = features.filter("n > 0").select("id", "n")
+    apart = placed.join(scratch.save("mixed", mixed), "key").join(sizes, "id").select("key", "id", "n", "size", "c")
+    apart = scratch.save("apart", apart)
+    scratch.drop("placed", "mixed")
     close = F.expr(f"c < d AND 100 * least(n, o) >= {percent} * greatest(n, o)")
     few = apart.filter(F.col("size") <= SMALL).select("key", F.col("id").alias("a"), "n", "c")
     others = few.select("key", F.col("a").alias("b"), F.col("n").alias("o"), F.col("c").alias("d"))
@@ -335,26 +374,15 @@ def near_duplicates(
     known = shared.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(known, ["a", "b"], "left_anti")
     more = _links(spark, docs, features, pairs, shingle, percent, scratch, "rest")
-    stitched = contract(group.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
-    everything = stitched.unionByName(more.select("a", "b")).unionByName(by_id.select("a", "b"))
-    final = scratch.save("final", components(everything, scratch, "cc2"))
-    scratch.drop("nodes", "member", "shared", "placed", "apart", "crowd", "crowd-texts", "groups", "star-near", "star-texts", "star-links", "rest-near", "rest-texts", "rest-links", "crowd-tokens")
-
-    found = features.select("id", "n").join(final.withColumnRenamed("node", "id"), "id", "left")
-    component = F.coalesce("component", "id")
-    return found.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    return group.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.select("a", "b"))
 
 
 def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of documents, with all their columns, whose id is the smallest of its group of near-duplicates.
 
-    Rows that repeat an id are one document: one of them stays. Rows without an
-    id all stay.
+    Rows that repeat an id are one document: the row with the first text in
+    order stays, of equal texts the first by a hash of the row. Rows without an
+    id all stay, and so do null and blank texts.
     """
     found = near_duplicates(documents, id_col, text_col, shingle, percent)
     gone = found.filter(~F.col("kept")).select(F.col(id_col)).distinct()
@@ -362,5 +390,7 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     repeated = found.groupBy(id_col).agg(F.count("*").alias("n")).filter(F.col(id_col).isNotNull() & (F.col("n") > 1)).select(id_col)
     if repeated.isEmpty():
         return left
-    once = left.join(repeated, id_col, "left_semi").select(*documents.columns).dropDuplicates([id_col])
+    # one partial aggregation, however often an id is repeated
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    once = left.join(repeated, id_col, "left_semi").groupBy(id_col).agg(F.min_by(row, F.struct(text_col, F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns]))).alias("_row")).select("_row.*")
     return left.join(repeated, id_col, "left_anti").select(*documents.columns).unionByName(once)

@@ -7,8 +7,9 @@ user-defined pieces. Batches are encoded by the library's threads.
 
 With byte fallback and without unknown pieces decoding is the inverse of
 encoding for a model that normalises nothing but the marker. ``parity`` holds
-a sample of texts against the sentencepiece library; each worker runs it once
-before its first batch and stops the job on a difference.
+a sample of texts, and of ids back to texts, against the sentencepiece library;
+each worker runs it once before its first batch and stops the job on a
+difference.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import tokenizers
 from pyspark.sql import DataFrame
@@ -25,11 +27,14 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, decoders, models, normalizers, pre_tokenizers
 
 from mergestone.llm.scratch import modest_batches
+from mergestone.llm.worker import keep, tidy
 
 MARK = "▁"
 #: Fixed values of the format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: Fixed value: what an unknown piece is decoded as.
+UNKNOWN_SHOWN = " \u2047 "
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Texts that try white space, markers, bytes, scripts and marks.
 PROBES = (
@@ -131,8 +136,7 @@ def build(model: Model) -> tokenizers.Tokenizer:
     # no piece has a marker after another character, so none can cross the start of a run of markers; short parts are cached
     if not any(MARK in piece.lstrip(MARK) for piece, _, kind in model.pieces if kind in (NORMAL, USER)):
         out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    chain = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    out.decoder = decoders.Sequence(chain + [decoders.Strip(" ", 1, 0)] * model.dummy_prefix)
+    out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
     user = [piece for piece, _, kind in model.pieces if kind == USER]
     if user:
         out.add_tokens([tokenizers.AddedToken(p, normalized=False) for p in user])
@@ -151,22 +155,25 @@ class Pieces:
     def __init__(self, data: bytes, most_parts: int = 50_000, longest_part: int = 100) -> None:
         self.model = Model(data)
         self.tokenizer = build(self.model)
+        self.normalizer = self.tokenizer.normalizer
         pieces = self.model.pieces
         self.by_parts = self.tokenizer.pre_tokenizer is not None and not any(kind == USER for *_, kind in pieces)
-        if self.by_parts:
-            self.core = tokenizers.Tokenizer.from_str(self.tokenizer.to_str())
-            self.core.normalizer = self.core.pre_tokenizer = None
+        if self.by_parts:  # texts are normalised and split before they come to the library
+            self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
+        self.plain = self.by_parts and self.model.dummy_prefix and not self.model.charsmap and not self.model.fold_spaces
         self.known: dict[str, tuple[int, ...]] = {}  # parts met lately
         self.earlier: dict[str, tuple[int, ...]] = {}  # the table before it, until this one is full
         self.ids = list(range(len(pieces)))  # one object for each id, whatever number of parts has it
         self.most_parts, self.longest_part = most_parts, longest_part
-        self.bytes_of = [
-            bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode() for piece, _, kind in pieces
-        ]
+        self.control = frozenset(i for i, (*_, kind) in enumerate(pieces) if kind == CONTROL)
+        self.marked = frozenset(i for i, (piece, _, kind) in enumerate(pieces) if piece[:1] == MARK and kind in (NORMAL, USER))
+        self.byte_of = {i: int(piece[3:5], 16) for i, (piece, _, kind) in enumerate(pieces) if kind == BYTE}
+        self.unknown = next((i for i, (*_, kind) in enumerate(pieces) if kind == UNKNOWN), None)
+        self.odd = self.control | {i for i in (self.unknown,) if i is not None}
 
     def _normal(self, text: str) -> str:
         if self.model.charsmap or self.model.fold_spaces:
-            return self.tokenizer.normalizer.normalize_str(text)
+            return self.normalizer.normalize_str(text)
         return (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
@@ -175,57 +182,90 @@ class Pieces:
         if not self.by_parts:
             found = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
             return [[] if blank(t) else ids for t, ids in zip(texts, found)]
-        split = [[] if blank(t) else _PARTS.findall(self._normal(t)) for t in texts]
+        split = [[] if blank(t) else self._parts(t) for t in texts]
         if len(self.known) > self.most_parts:
             self.known, self.earlier = {}, self.known
         known, fresh = self.known, []
-        for p in set().union(*split):
-            if p not in known:
-                if p in self.earlier:
-                    known[p] = self.earlier[p]
-                else:
-                    fresh.append(p)
+        for p in set().union(*split) - known.keys():
+            if p in self.earlier:
+                known[p] = self.earlier[p]
+            else:
+                fresh.append(p)
         one = self.ids.__getitem__
         for start in range(0, len(fresh), 20_000):
             some = fresh[start : start + 20_000]
-            known.update(zip(some, (tuple(map(one, x.ids)) for x in self.core.encode_batch(some, add_special_tokens=False))))
-        out = []
-        for parts in split:
-            ids: list[int] = []
-            for p in parts:
-                ids += known[p]
-            out.append(ids)
+            found = self.tokenizer.encode_batch_fast([MARK + p if self.plain and p[:1] != MARK else p for p in some], add_special_tokens=False)
+            known.update(zip(some, (tuple(map(one, x.ids)) for x in found)))
+        out = [list(chain.from_iterable(map(known.__getitem__, parts))) for parts in split]
         for p in fresh:
             if len(p) > self.longest_part:
                 del known[p]
         return out
 
+    def _parts(self, text: str) -> list[str]:
+        """The text's independent parts. For a plain model all begin with a marker, and a word behind one is written without it."""
+        if not self.plain:
+            return _PARTS.findall(self._normal(text))
+        if "  " not in text and MARK not in text and text[:1] != " " and text[-1:] != " ":
+            return text.split(" ")
+        return [p[1:] if p[1:2] not in (MARK, "") else p for p in _PARTS.findall(self._normal(text))]
+
     def decode(self, ids: list[list[int]]) -> list[str]:
-        """The text of each list of ids; bytes that aren't UTF-8 are left to the library's rules."""
+        """The text of each list of ids, by the library's batches.
+
+        Control pieces have no text, an unknown one has a fixed one, and each
+        byte that is no part of a UTF-8 character gives one replacement
+        character: lists with such pieces are put together piece by piece. The
+        marker that normalising put first goes again.
+        """
         out = []
-        for one in ids:
-            try:
-                text = b"".join([self.bytes_of[i] for i in one]).decode()
-                out.append(text[1:] if self.model.dummy_prefix and text[:1] == " " else text)
-            except UnicodeDecodeError:
-                out.append(self.tokenizer.decode(one, skip_special_tokens=False))
+        for one, text in zip(ids, self.tokenizer.decode_batch(ids, skip_special_tokens=False)):
+            if not self.odd.isdisjoint(one) or "\ufffd" in text and any(i in self.byte_of for i in one):
+                text = self._loose(one)
+            first = next((i for i in one if i not in self.control), None)
+            out.append(text[1:] if self.model.dummy_prefix and first in self.marked else text)
         return out
 
+    def _loose(self, ids: list[int]) -> str:
+        """The text of ids with control or unknown pieces, or bytes that aren't all UTF-8."""
+        out, held = [], bytearray()
+        for i in [*ids, None]:
+            if i in self.byte_of:
+                held.append(self.byte_of[i])
+                continue
+            while held:
+                for size in range(min(4, len(held)), 0, -1):
+                    try:
+                        out.append(bytes(held[:size]).decode())
+                    except UnicodeDecodeError:
+                        continue
+                    del held[:size]
+                    break
+                else:
+                    out.append("\ufffd")
+                    del held[:1]
+            if i is not None and i not in self.control:
+                out.append(UNKNOWN_SHOWN if i == self.unknown else self.model.pieces[i][0].replace(MARK, " "))
+        return "".join(out)
+
 
 def parity(pieces: Pieces, data: bytes, texts: tuple[str, ...] | list[str] = PROBES) -> list[str]:
-    """The texts whose ids differ from the sentencepiece library's."""
+    """The texts whose ids, or whose ids' texts, differ from the sentencepiece library's."""
     import sentencepiece
 
     other = sentencepiece.SentencePieceProcessor(model_proto=data)
-    return [t for t, ids in zip(texts, pieces.encode(list(texts))) if ids != other.encode(t)]
+    ids = pieces.encode(list(texts))
+    return [t for t, own, back in zip(texts, ids, pieces.decode(ids)) if own != other.encode(t) or back != other.decode(own)]
 
 
-@cache
 def _held(data: bytes) -> Pieces:
-    pieces = Pieces(data)
-    if wrong := parity(pieces, data):
-        raise RuntimeError(f"encoding differs from the sentencepiece library's on {wrong[:3]!r}")
-    return pieces
+    def make() -> Pieces:
+        pieces = Pieces(data)
+        if wrong := parity(pieces, data):
+            raise RuntimeError(f"the pieces differ from the sentencepiece library's on {wrong[:3]!r}")
+        return pieces
+
+    return keep(("pieces", len(data), hashlib.sha256(data).hexdigest()), make)
 
 
 def _rows(batch: pa.RecordBatch, characters: int = 1_000_000) -> Iterator[tuple[int, int]]:
@@ -268,8 +308,11 @@ def _decode(model):
 
 
 def default_model() -> str:
-    """The path of the public 32k model of this machine's tokenizer files."""
-    import public_tokenizers
+    """The path of the public 32k model among this machine's tokenizer files; where they are missing, name a model."""
+    try:
+        import public_tokenizers
+    except ModuleNotFoundError as gone:
+        raise RuntimeError("the public tokenizer files are not on this machine: give model_path") from gone
 
     return public_tokenizers.path("piece_bpe_32k.model")
 
@@ -289,20 +332,18 @@ def encode(documents: DataFrame, model_path: str | None = None, id_col: str = "d
     modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = f"id {docs.schema['id'].dataType.simpleString()}, text string, ids array<int>"
-    return docs.mapInArrow(_encode(_share(documents, model_path)), kind).withColumnRenamed("id", id_col)
+    return docs.mapInArrow(tidy(_encode(_share(documents, model_path)), keeps=True), kind).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, model_path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id_col, text) of rows of piece ids; null ids give a null text, no ids an empty one."""
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
     kind = f"id {rows.schema['id'].dataType.simpleString()}, text string"
-    return rows.mapInArrow(_decode(_share(encoded, model_path)), kind).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(_decode(_share(encoded, model_path)), keeps=True), kind).withColumnRenamed("id", id_col)
 
 
 def _digest(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         pieces = _held(model.value)
         for batch in batches:
             for start, end in _rows(batch):
@@ -323,4 +364,4 @@ def digest(documents: DataFrame, model_path: str | None = None, id_col: str = "d
     """(doc_id, n_pieces, ids_sha256 of the ids as little-endian int32, round_trip): encoded and decoded in one pass."""
     modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(_digest(_share(documents, model_path)), "doc_id long, n_pieces long, ids_sha256 string, round_trip boolean")
+    return docs.mapInArrow(tidy(_digest(_share(documents, model_path)), keeps=True), "doc_id long, n_pieces long, ids_sha256 string, round_trip boolean")

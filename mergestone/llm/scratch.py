@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 _OPEN: list["Scratch"] = []
 
 
+#: Folders made for sessions of a single machine that name none, by application.
+_MADE: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a temporary folder where it is unset on a single machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -18,20 +22,22 @@ def shared_dir(spark: SparkSession) -> str:
         return found
     if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    found = "file://" + tempfile.mkdtemp(prefix="mergestone-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    return _MADE.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="mergestone-"))
 
 
-#: Rows of a batch that a Python worker is sent at once, at most; texts are long, and a batch is held several times over.
-BATCH_ROWS = 1000
+#: Rows and bytes of a batch that a Python worker is sent at once, at most, or one row; a batch is held several times over.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def modest_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to ``BATCH_ROWS``; a lower setting stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Lowers the session's Arrow batches to ``BATCH_ROWS`` and ``BATCH_BYTES``; lower settings stay.
+
+    Spark reads these settings when a frame is run, so they stay for the session.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(name).removesuffix("b")) <= most:
+            spark.conf.set(name, most)
 
 
 class Scratch:
@@ -57,6 +63,14 @@ class Scratch:
         for name in names:
             self._delete(f"{self.root}/{name}")
 
+    def keep_only(self, *names: str) -> None:
+        """Deletes all tables but these."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        for found in root.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(root):
+            if found.getPath().getName() not in names:
+                self.drop(found.getPath().getName())
+
     def close(self) -> None:
         self._delete(self.root)
 

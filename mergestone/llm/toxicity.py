@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from mergestone.llm.linear import apply_logistic, fit_logistic
 from mergestone.llm.scratch import modest_batches
 from mergestone.llm.words import alnum_words
+from mergestone.llm.worker import tidy
 
 BITS = 20
 #: Bytes of a word's beginnings that are features, besides the whole word.
@@ -33,9 +34,20 @@ STARTS = (4, 5, 6)
 PER_CLASS, CHOSEN, FOLDS = 3000, 256, 5
 #: A feature must be this many times as frequent with the category as without it.
 LIFT = 5.0
-#: Words that give the weak categories of the labels table's toxic rows; plain text, not a model.
+#: Words that give the weak categories of a labels table that knows only toxic; fixed values, not a model.
 INSULT = ("clown", "idiot", "loser", "moron", "scum", "stupid")
 CONTEMPT = ("disgusting", "pathetic", "trash", "worthless")
+#: The same in more words, and in French, German and Spanish.
+MORE_INSULT = (
+    "ass", "bastard", "coward", "creep", "dumb", "fool", "freak", "imbecile", "jerk", "liar", "pig", "rat",
+    "abruti", "connard", "crétin", "débile", "imbécile", "salaud", "blödmann", "depp", "dummkopf", "idiotin", "schwein", "trottel",
+    "cretino", "estúpido", "idiota", "imbécil", "payaso", "tonto",
+)
+MORE_CONTEMPT = (
+    "filth", "filthy", "garbage", "hopeless", "hateful", "miserable", "repulsive", "ridiculous", "rubbish", "shameful", "sickening", "useless", "vile", "vermin",
+    "dégoûtant", "lamentable", "minable", "ordure", "pathétique", "abschaum", "ekelhaft", "erbärmlich", "müll", "wertlos",
+    "asqueroso", "basura", "inútil", "patético",
+)
 CATEGORIES = ("insult", "contempt", "toxic")
 
 
@@ -129,9 +141,13 @@ def _choose(sparse: list[np.ndarray], y: np.ndarray, most: int = CHOSEN) -> np.n
 
 
 def fit_chain(texts: list[bytes | None], labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...], l2: float = 0.1) -> Chain:
-    """Fits the chain; labels is (texts, categories) of 0 and 1, folds says which fold holds each row out."""
+    """``fit_features`` of the texts' features."""
     words = _Features()
-    sparse = [words.of(t) for t in texts]
+    return fit_features([words.of(t) for t in texts], labels, folds, names, l2)
+
+
+def fit_features(sparse: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, names: tuple[str, ...], l2: float = 0.1) -> Chain:
+    """Fits the chain on rows of features; labels is (rows, categories) of 0 and 1, folds says which fold holds each row out."""
     links, held_out = [], np.zeros(labels.shape)
     for k, name in enumerate(names):
         y = labels[:, k]
@@ -149,8 +165,8 @@ def fit_chain(texts: list[bytes | None], labels: np.ndarray, folds: np.ndarray,
             part = fit(kept)
             x = np.hstack([_dense([sparse[i] for i in out], part.chosen), held_out[out, :k]])
             held_out[out, k] = apply_logistic(x, part.weights)
-        links.append(fit(np.arange(len(texts))))
-    return Chain(links, best_threshold(held_out[:, -1], labels[:, -1]) if len(texts) else 0.5)
+        links.append(fit(np.arange(len(sparse))))
+    return Chain(links, best_threshold(held_out[:, -1], labels[:, -1]) if len(sparse) else 0.5)
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -170,14 +186,24 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def weak_categories(toxic: Column, text: Column) -> dict[str, Column]:
     """The labels table knows only toxic; its rows that use one of the plain words also have that category."""
-    found = lambda words: F.coalesce(F.lower(text).rlike(rf"\b(?:{'|'.join(words)})\b"), F.lit(False))
+    found = lambda words: F.coalesce(F.lower(text).rlike(rf"(?U)\b(?:{'|'.join(words)})\b"), F.lit(False))
     return {
-        "insult": (toxic & found(INSULT)).cast("int"),
-        "contempt": (toxic & found(CONTEMPT)).cast("int"),
+        "insult": (toxic & found(INSULT + MORE_INSULT)).cast("int"),
+        "contempt": (toxic & found(CONTEMPT + MORE_CONTEMPT)).cast("int"),
         "toxic": toxic.cast("int"),
     }
 
 
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the features of each text, in place of the text."""
+    words = _Features()
+    for batch in batches:
+        own = [words.of(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        rest = [i for i, n in enumerate(batch.schema.names) if n != "text"]
+        columns = [batch.column(i) for i in rest] + [pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in rest), "features"])
+
+
 def train(
     documents: DataFrame,
     labels: DataFrame,
@@ -185,25 +211,38 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     per_class: int = PER_CLASS,
+    category_cols: tuple[str, ...] = (),
 ) -> Chain:
     """A chain fitted on a bounded sample of labelled documents.
 
-    Labels without an id or a value, labels of no document and documents
-    without text are left out; of several labels of an id the largest counts.
-    Without labels of both kinds nothing is toxic.
+    ``category_cols`` name columns of labels (0 or 1, null as 0) that come
+    before ``label_col`` in the chain; without them weak categories do. Labels
+    without an id or a value, labels of no document and documents without text
+    are left out; of several labels of an id the largest counts, of several
+    texts of an id the first in order, so the model is repeatable. What comes to
+    the driver of a sampled text is its hashed features. Without labels of both
+    kinds nothing is toxic.
     """
-    given = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
-    given = given.filter("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
+    modest_batches(documents.sparkSession)
+    given = labels.select(
+        F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"), *[F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(f"c_{c}") for c in category_cols]
+    )
+    given = given.filter("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.max("y").alias("y"), *[F.max(f"c_{c}").alias(f"c_{c}") for c in category_cols])
     order = (F.xxhash64("id"), "id")
     sample = given.filter("y = 1").orderBy(*order).limit(per_class).unionByName(given.filter("y = 0").orderBy(*order).limit(per_class))
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
-    own = docs.join(F.broadcast(sample), "id")  # at most 2 * per_class rows
-    kinds = weak_categories(F.col("y") == 1, F.col("text"))
-    rows = own.select("id", "text", *[c.alias(f"c_{k}") for k, c in kinds.items()]).toPandas()
-    rows = rows.drop_duplicates("id").sort_values("id", kind="stable")
-    folds = np.array([xxhash.xxh3_64_intdigest(str(i).encode()) % FOLDS for i in rows["id"]], np.int64)
-    y = rows[[f"c_{k}" for k in CATEGORIES]].to_numpy(np.float64).reshape(len(rows), len(CATEGORIES))
-    return fit_chain([t.encode() for t in rows["text"]], y, folds, CATEGORIES)
+    own = docs.join(F.broadcast(sample), "id").groupBy(*sample.columns).agg(F.min("text").alias("text"))  # at most 2 * per_class ids
+    if category_cols:
+        names = (*category_cols, label_col)
+        marked = own.withColumn(f"c_{label_col}", F.col("y")).select("id", "text", *[f"c_{k}" for k in names])
+    else:
+        names = CATEGORIES
+        marked = own.select("id", "text", *[c.alias(f"c_{k}") for k, c in weak_categories(F.col("y") == 1, F.col("text")).items()])
+    kind = "id long, " + ", ".join(f"c_{k} int" for k in names) + ", features array<int>"
+    rows = sorted(marked.mapInArrow(tidy(_sampled), kind).collect(), key=lambda r: r["id"])
+    folds = np.array([xxhash.xxh3_64_intdigest(str(r["id"]).encode()) % FOLDS for r in rows], np.int64)
+    y = np.array([[r[f"c_{k}"] for k in names] for r in rows], np.float64).reshape(len(rows), len(names))
+    return fit_features([np.array(r["features"], np.int64) for r in rows], y, folds, names)
 
 
 def _score(model):
@@ -224,15 +263,15 @@ def toxicity(documents: DataFrame, model: Chain, id_col: str = "doc_id", text_co
     """(id_col, p_<category> for each category, toxic), one row for each input row.
 
     Null and blank texts have no features and get the intercepts' probabilities.
-    Null ids stay null, repeated rows are each answered, other columns are
-    ignored.
+    Very long texts are read whole. Null ids stay null, repeated rows are each
+    answered, other columns are ignored, an empty table gives none.
     """
     modest_batches(documents.sparkSession)
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     held = documents.sparkSession.sparkContext.broadcast(model)  # a few hundred weights for each category
     columns = ", ".join(f"p_{x.name} double" for x in model.links)
     kind = f"id {docs.schema['id'].dataType.simpleString()}, {columns}, {model.links[-1].name} boolean"
-    return docs.mapInArrow(_score(held), kind).withColumnRenamed("id", id_col)
+    return docs.mapInArrow(tidy(_score(held)), kind).withColumnRenamed("id", id_col)
 
 
 def without_toxic(documents: DataFrame, model: Chain, text_col: str = "text") -> DataFrame:
@@ -249,4 +288,4 @@ def without_toxic(documents: DataFrame, model: Chain, text_col: str = "text") ->
                 p = held.value.predict(part.column(place).cast(pa.binary()).to_pylist(), words)
                 yield part.filter(pa.array(p[:, -1] < held.value.threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidy(run), documents.schema)

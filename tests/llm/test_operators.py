@@ -177,7 +177,7 @@ def test_em_finds_accuracies():
     y = rng.random(20000) < 0.8
     said = np.stack([np.where(rng.random(len(y)) < a, y, ~y) for a in (0.95, 0.9, 0.8, 0.7)], axis=1).astype(int)
     seen = Counter(map(tuple, said))
-    model = quality.estimate(np.array(list(seen)), np.array(list(seen.values()), float), most_caught=0.999)
+    model = quality.estimate(np.array(list(seen)), np.array(list(seen.values()), float))
     assert abs(model.prior - 0.8) < 0.05 and np.allclose([model.chance[k, 1, 1] for k in range(4)], [0.95, 0.9, 0.8, 0.7], atol=0.05)
 
 
