@@ -38,6 +38,8 @@ LEAST_AGREEMENT = 0.62
 SMALL = 50
 #: Elements handled together; bounds the permutations held by a worker to about 30 MB.
 CHUNK = 150_000
+#: Ids that are broadcast at most, about 30 MB; more are joined by a shuffle.
+MOST_BROADCAST = 500_000
 #: Bits of the filter of wanted documents: 8 MB whatever the input; a full filter only lets more rows pass.
 FILTER_BITS = 1 << 26
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -386,6 +388,8 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     found = near_duplicates(documents, id_col, text_col, shingle, percent)
     gone = found.filter(~F.col("kept")).select(F.col(id_col)).distinct()
+    if gone.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:  # then whole texts need not be shuffled
+        gone = F.broadcast(gone)
     left = documents.join(gone, id_col, "left_anti").select(*documents.columns)
     repeated = found.groupBy(id_col).agg(F.count("*").alias("n")).filter(F.col(id_col).isNotNull() & (F.col("n") > 1)).select(id_col)
     if repeated.isEmpty():
