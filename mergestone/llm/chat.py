@@ -7,7 +7,8 @@ chooses the cheapest way, the first of equals in the order of ``_OPTIONS``.
 
 A step of the programme is a matrix of least costs from state to state, and
 these multiply (minimum for sum, sum for product). So turns are sorted by
-range, cut into chunks of at most ``CHUNK`` rows, and only conversations that
+range, cut into chunks of at most ``CHUNK`` rows and ``CHARACTERS`` bytes of
+text (or one turn), and only conversations that
 cross chunks need more: the product of each of their chunks, then the states
 in which the cheapest path enters and leaves each chunk. No task ever holds a
 whole conversation of unknown length.
@@ -22,10 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergestone.llm.scratch import Scratch
+from mergestone.llm.worker import tidy
 
 ROLES = ("system", "user", "assistant")
 #: States: nothing yet, or the role of the last turn.
@@ -34,7 +38,9 @@ NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (
 MERGE, RELABEL, INSERT = 1.0, 2.0, 3.0
 #: Costs of ending in a state; a conversation may end with either speaker.
 END = {START: 0.0, SYSTEM: INSERT, USER: 0.0, ASSISTANT: 0.0}
-CHUNK = 5000
+CHUNK, CHARACTERS = 5000, 8_000_000
+#: Characters of a text that turns are put in order by, before a hash of the whole: range bounds are sampled from them.
+SHOWN = 64
 OTHER = 0  # the role of a turn whose label is none of ROLES
 
 
@@ -127,17 +133,25 @@ def pieces(steps: list[tuple[int, str, int, float]], texts: list[str], first: bo
     return out
 
 
-def _chunks(size: int):
-    """Numbers the rows of a sorted partition, and cuts it into chunks."""
+def _chunks(size: int, characters: int):
+    """Numbers the rows of a sorted partition, and cuts it into chunks of so many rows, or characters of text, at most."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base, done = TaskContext.get().partitionId() << 40, 0
+        chunk, rows, held = base, 0, 0
         for batch in batches:
-            order = base + done + np.arange(len(batch))
-            done += len(batch)
-            yield pd.DataFrame({"conv_id": batch["conv_id"], "place": order, "chunk": base + (order - base) // size, "role": batch["role"], "text": batch["text"]})
+            chunks = []
+            for n in pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist():
+                if rows == size or rows and held + n > characters:
+                    chunk, rows, held = base + done + len(chunks), 0, 0
+                chunks.append(chunk)
+                rows, held = rows + 1, held + n
+            order = base + done + np.arange(batch.num_rows)
+            done += batch.num_rows
+            columns = [batch.column("conv_id"), pa.array(order, pa.int64()), pa.array(chunks, pa.int64()), batch.column("role"), batch.column("text")]
+            yield pa.RecordBatch.from_arrays(columns, names=["conv_id", "place", "chunk", "role", "text"])
 
     return run
 
@@ -185,10 +199,12 @@ def repair_roles(
 ) -> DataFrame:
     """(conv_id, place, role, action, inserted, cost, piece): one row for each turn, to be read in order of place.
 
-    Turns are in order of turn, role and text; a null turn comes first, repeated
-    rows are turns of their own. A role other than system, user and assistant,
-    or null, must be relabelled. A null text is empty. Rows without a
-    conversation can't be placed and take no part; other columns are ignored.
+    Turns are in order of turn, role and text (its first ``SHOWN`` characters,
+    then a hash of it); a null turn comes first, repeated rows are turns of
+    their own. A role other than system, user and assistant, or null, must be
+    relabelled. A null text is empty, a very long one stays whole. Rows without
+    a conversation can't be placed and take no part; other columns are ignored;
+    an empty table gives none.
     """
     spark = conversations.sparkSession
     scratch = Scratch(spark, "chat")
@@ -196,11 +212,11 @@ def repair_roles(
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text")
     ).filter("conv_id IS NOT NULL")
     # the row's number only parts equal rows, so that any run of rows can be cut
-    keys = ["conv_id", "turn", "role", "text", "row"]
+    keys = ["conv_id", "turn", "role", F.substring("text", 1, SHOWN), F.xxhash64("text"), "row"]
     numbered = scratch.save("numbered", turns.withColumn("row", F.monotonically_increasing_id()))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = numbered.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    placed = scratch.save("placed", placed.mapInPandas(_chunks(chunk), "conv_id long, place long, chunk long, role string, text string"))
+    placed = scratch.save("placed", placed.mapInArrow(tidy(_chunks(chunk, CHARACTERS)), "conv_id long, place long, chunk long, role string, text string"))
     scratch.drop("numbered")
     ranges = placed.groupBy("conv_id").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).filter("a < b").select("conv_id")
     cut = placed.select("conv_id", "place", "chunk", "role").join(ranges, "conv_id", "left_semi")

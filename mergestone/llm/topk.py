@@ -2,11 +2,12 @@
 
 Queries and data are cut into blocks, dealt by a hash of the row, and each
 pair of blocks is one group: a stated set of queries against all rows. In a
-group both sides get a cover tree. A node's children are centres chosen
-farthest first, so they are at least the covering radius apart (separation),
-every point is within that radius of its centre (covering), and the node's own
-centre is the first of them (nesting); the radius is the smallest that
-``FAN`` centres can cover. The search descends both trees together, best bound
+group both sides get a cover tree. A node of level l covers its points within
+2^l. Its children are centres chosen farthest first until they cover within
+2^(l-1): they are at least that far apart (separation), every point is within
+it of its centre (covering), and the node's own centre is the first of them
+(nesting). Where that would take more than ``FAN`` centres, as in many
+dimensions, the level falls by as much as ``FAN`` cover. The search descends both trees together, best bound
 first, and leaves a pair of nodes when
 
     <q, p> + rq |p| + rp |q| + rq rp  <  the worst kth score of the node's queries,
@@ -18,11 +19,11 @@ meet in one more ranking.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,9 +36,9 @@ _LONG = (1 << 63) - 1
 
 
 class Node:
-    """A ball around ``centre`` that holds ``rows``; leaves have no children."""
+    """A node of the cover tree: its centre, the rows it covers within ``radius``, and the level; leaves have no children."""
 
-    __slots__ = ("centre", "norm", "radius", "rows", "children")
+    __slots__ = ("centre", "norm", "radius", "level", "rows", "children")
 
     def __init__(self, points: np.ndarray, rows: np.ndarray, centre: int, away: np.ndarray | None = None) -> None:
         if away is None:
@@ -45,10 +46,12 @@ class Node:
         self.centre, self.rows, self.children = points[centre], rows, []
         self.radius = float(away.max())
         self.norm = float(np.sqrt(self.centre @ self.centre))
+        self.level = -math.inf
         if len(rows) <= LEAF or self.radius == 0:
             return
+        self.level = math.ceil(math.log2(self.radius))
         owner, nearest, centres = np.zeros(len(rows), np.int64), away, [centre]
-        while len(centres) < FAN and nearest.max() > 0:
+        while len(centres) < FAN and (nearest.max() > 2.0 ** (self.level - 1) or len(centres) == 1):
             far = int(nearest.argmax())
             reach = _distances(points, rows, int(rows[far]))
             closer = reach < nearest
@@ -71,7 +74,10 @@ def _tree(points: np.ndarray) -> Node:
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Each line's k best: by score, then by smaller id."""
-    order = np.lexsort((ids, -scores), axis=-1)[:, :k]
+    if scores.dtype == object:
+        order = np.array([sorted(range(scores.shape[1]), key=lambda i: (-s[i], n[i]))[:k] for s, n in zip(scores, ids)], np.int64).reshape(len(scores), -1)
+    else:
+        order = np.lexsort((ids, -scores), axis=-1)[:, :k]
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
@@ -80,10 +86,13 @@ def dual_tree_topk(
 ) -> tuple[np.ndarray, np.ndarray, dict[str, int]]:
     """(scores, ids) as (queries, k), filled up with -inf; and how many pairs of points were scored.
 
-    Values are whole numbers as float64, small enough for exact sums.
+    Values are whole numbers: as float64 where sums of products are exact, else
+    as Python's integers (object arrays). Trees and bounds are in floats, with
+    room for rounding; scores and their order are exact.
     """
     none = np.iinfo(np.int64).max
-    scores, ids = np.full((len(queries), k), -np.inf), np.full((len(queries), k), none)
+    exact = queries.dtype == object
+    scores, ids = np.full((len(queries), k), -np.inf, queries.dtype), np.full((len(queries), k), none)
     done = {"scored": 0, "pairs": len(queries) * len(data)}
     if not len(queries) or not len(data):
         return scores, ids, done
@@ -92,11 +101,17 @@ def dual_tree_topk(
         top = float(q.centre @ p.centre) + q.radius * p.norm + p.radius * q.norm + q.radius * p.radius
         return top + 1e-9 * (abs(top) + q.norm * p.norm + 1)  # rounding may not prune
 
-    first, second = _tree(queries), _tree(data)
+    # one common scale keeps the floats of very large integers in range; it changes no comparison
+    shrink = max([1, *(abs(x) for side in (queries, data) for x in side.flat)]) if exact else 1
+    scaled = [np.array([[x / shrink for x in line] for line in side], np.float64).reshape(side.shape) if exact else side for side in (queries, data)]
+    first, second = _tree(scaled[0]), _tree(scaled[1])
     stack = [(bound(first, second), first, second)]
     while stack:
         top, q, p = stack.pop()
-        if top < scores[q.rows, -1].min():
+        worst = scores[q.rows, -1].min()
+        if exact and worst != -np.inf:  # in two steps, as the square of the scale may be no float
+            worst = float(Fraction(worst, shrink * shrink))
+        if top < worst:
             continue
         if q.children and (not p.children or q.radius >= p.radius):
             stack.extend(sorted(((bound(c, p), c, p) for c in q.children), key=lambda x: x[0]))
@@ -115,16 +130,7 @@ def dual_tree_topk(
     return scores, ids, done
 
 
-def _plain_topk(queries: list[list[int]], query_ids, data: list[list[int]], data_ids, k: int) -> list[list[tuple[int, int]]]:
-    """For values too large for exact floating sums: whole-number arithmetic, pair by pair."""
-    out = []
-    for q, own in zip(queries, query_ids):
-        found = sorted((-sum(a * b for a, b in zip(q, p)), int(i)) for p, i in zip(data, data_ids) if i != own)[:k]
-        out.append([(max(-_LONG - 1, min(_LONG, -s)), i) for s, i in found])
-    return out
-
-
-def _group(k: int):
+def _group(k: int, scale: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         asked = rows["query"].to_numpy(bool)
         sides = []
@@ -134,35 +140,32 @@ def _group(k: int):
             values = np.array(part["v"].tolist(), np.float64).reshape(len(part), dim)
             sides.append((values, part["vec_id"].to_numpy(np.int64), part["row"].to_numpy(np.int64)))
         (qv, qi, qr), (dv, di, _) = sides
-        most = [float(np.abs(x).max()) if x.size else 0.0 for x in (qv, dv)]
+        most = [float(np.abs(x).max()) * scale if x.size else 0.0 for x in (qv, dv)]
         if most[0] * most[1] * qv.shape[1] < _EXACT and max(most) < 2**40:
-            scores, ids, _ = dual_tree_topk(qv, qi, dv, di, k)
-            line, place = np.nonzero(np.isfinite(scores))
-            found = pd.DataFrame({"row": qr[line], "query_id": qi[line], "vec_id": ids[line, place], "score": scores[line, place].astype(np.int64)})
+            qv, dv = np.floor(qv * scale), np.floor(dv * scale)
         else:
-            whole = [[[int(x) for x in line] for line in side] for side in (qv, dv)]
-            best = _plain_topk(whole[0], qi, whole[1], di, k)
-            found = pd.DataFrame([(r, q, i, s) for r, q, b in zip(qr, qi, best) for s, i in b], columns=["row", "query_id", "vec_id", "score"])
-        return found.astype("int64")
+            qv, dv = (np.array([[_integer(x, scale) for x in line] for line in side], object).reshape(side.shape) for side in (qv, dv))
+        scores, ids, _ = dual_tree_topk(qv, qi, dv, di, k)
+        line, place = np.nonzero(scores != -np.inf)
+        whole = [int(x) for x in scores[line, place]]
+        held = np.array([max(-_LONG - 1, min(_LONG, x)) for x in whole], np.int64)
+        return pd.DataFrame({"row": qr[line], "query_id": qi[line], "vec_id": ids[line, place], "score": held, "place": pd.Series([_sortable(x) for x in whole], dtype=object)})
 
     return run
 
 
-def _whole(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.RecordBatch]:
-    """Vectors as floor(scale * x); those that are null or hold a null or non-finite component go."""
-    for batch in batches:
-        rows, ids, out = [], [], []
-        for row, i, v in zip(*(c.to_pylist() for c in batch.columns)):
-            if i is None or v is None or any(x is None for x in v):
-                continue
-            values = np.floor(np.array(v, np.float64) * scale)
-            if np.isfinite(values).all():
-                rows.append(row)
-                ids.append(i)
-                out.append(values)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.float64()))], names=["row", "vec_id", "v"]
-        )
+_COMPLEMENT = str.maketrans("0123456789", "9876543210")
+
+
+def _sortable(x: int) -> str:
+    """A text in whose order integers of any size stand: sign, length, digits."""
+    digits = str(abs(x))
+    return f"1{len(digits):06d}{digits}" if x >= 0 else f"0{999_999 - len(digits):06d}{digits.translate(_COMPLEMENT)}"
+
+
+def _integer(x: float, scale: int) -> int:
+    """floor(scale * x) of a finite x, also where the product is no float."""
+    return int(x) * scale if abs(x) > 2.0**900 else math.floor(x * scale)
 
 
 def top_k(
@@ -177,18 +180,21 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every``, the k best of all other rows.
 
-    Components become floor(scale * x); the score is their inner product, held
-    to the range of a long. Ties go to the smaller id. Rows with a null id, a
+    Components become floor(scale * x); the score is their exact inner product,
+    shown as the nearest long where it is out of a long's range; ranks are by
+    the exact one. Ties go to the smaller id. Rows with a null id, a
     null vector, or a null or non-finite component take no part. Only vectors
     of equal length are compared. A row with the query's id is the query's own;
     a repeated query row is answered again, and repeated candidates each count.
+    Other columns are ignored; an empty table gives none.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
     raw = vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")
     )
-    held = scratch.save("vectors", raw.mapInArrow(lambda b: _whole(b, scale), "row long, vec_id long, v array<double>"))
+    finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))  # not a number counts as greater
+    held = scratch.save("vectors", raw.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite))
     is_query = F.col("vec_id") % every == 0
     n = held.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     q_blocks, d_blocks = max(1, -(-n["q"] // query_block)), max(1, -(-n["n"] // data_block))
@@ -197,8 +203,8 @@ def top_k(
     queries = held.filter(is_query).select("row", "vec_id", "v", dim, F.lit(True).alias("query"), cut(q_blocks).alias("qb"), spread(d_blocks).alias("db"))
     data = held.select("row", "vec_id", "v", dim, F.lit(False).alias("query"), cut(d_blocks).alias("db"), spread(q_blocks).alias("qb"))
     both = queries.unionByName(data)
-    best = both.groupBy("dim", "qb", "db").applyInPandas(_group(k), "row long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    best = both.groupBy("dim", "qb", "db").applyInPandas(_group(k, scale), "row long, query_id long, vec_id long, score long, place string")
+    order = Window.partitionBy("row").orderBy(F.desc("place"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -6,10 +6,13 @@ latest of all if its own time is unknown, if the validators agree: an ETag on bo
 a Last-Modified on both sides. The headers are the response's, updated by those
 that a 304 may change.
 
-The as-of join is DataFrame operations only. Time is cut into slices; a window
-finds the latest response within a URL's slice, and a second window over one
-row for each URL and slice finds the latest of the slices before, so a URL
-with very many captures is dealt over as many tasks as it has slices.
+The as-of join is DataFrame operations only. Records are cut into slices of
+nearly equal count along URL and time; a window finds the latest response
+within a URL's slice, and a second window over one row for each URL and slice
+finds the latest of the slices before. So a URL with very many captures is
+dealt over as many tasks as its rows fill, whenever they were made. The
+response's headers travel with it through the windows, so nothing is joined by
+record id and rows that repeat are each answered once.
 """
 
 from __future__ import annotations
@@ -17,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mergestone.llm.scratch import Scratch
+
 #: Headers that a 304 may update.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that don't choose a page.
 TRACKING = "^(utm_[a-z_]*|ref|fbclid|gclid|sessionid|sid|phpsessid)(=|$)"
-SLICES = 64
 
 
 def canonical_url(url: Column) -> Column:
@@ -40,30 +44,37 @@ def _weak(etag: Column) -> Column:
     return F.regexp_replace(F.trim(etag), "^W/", "")
 
 
-def latest_earlier(records: DataFrame, slices: int = SLICES) -> DataFrame:
-    """(id, response_id) of each revisit of records (id, key, at, revisit): the latest response strictly before it, or null.
+def latest_earlier(records: DataFrame, slices: int | None = None) -> DataFrame:
+    """The revisits of records (id, key, at, revisit, ...) with all their columns and ``full``: the record, as a struct, of
+    the latest response strictly before it, or null.
 
-    Of responses at one time the largest id counts. Revisits without a key or
-    time match nothing.
+    Of responses at one time the largest id counts; a response without an id is
+    none's. Revisits without a key match nothing, those without a time the
+    latest response of all. slices: how many the records are cut into, else the
+    session's number of shuffle partitions.
     """
-    span = records.agg(F.min("at").alias("low"), F.max("at").alias("high")).first()
-    low, width = span["low"] or 0, max(1, ((span["high"] or 0) - (span["low"] or 0)) // slices + 1)
-    known = records.filter("key IS NOT NULL AND at IS NOT NULL").withColumn("slice", F.floor((F.col("at") - low) / width))
-    # revisits stand before the responses of their time, so that only earlier ones precede them
-    within = Window.partitionBy("key", "slice").orderBy("at", F.desc("revisit"), "id").rowsBetween(Window.unboundedPreceding, 0)
-    own = F.when(~F.col("revisit"), F.col("id"))
-    near = known.withColumn("near", F.last(own, ignorenulls=True).over(within)).filter("revisit").select("id", "key", "slice", "near")
-    newest = known.filter("NOT revisit").groupBy("key", "slice").agg(F.max_by("id", F.struct("at", "id")).alias("newest"))
-    asked = near.filter("near IS NULL").select("key", "slice").distinct()
-    steps = newest.unionByName(asked.withColumn("newest", F.lit(None).cast("long"))).groupBy("key", "slice").agg(F.max("newest").alias("newest"))
-    before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = steps.withColumn("far", F.last("newest", ignorenulls=True).over(before)).select("key", "slice", "far")
-    found = near.join(carried, ["key", "slice"], "left").select("id", F.coalesce("near", "far").alias("response_id"))
-    rest = records.filter("revisit AND (key IS NULL OR at IS NULL)").select("id", F.lit(None).cast("long").alias("response_id"))
+    spark = records.sparkSession
+    scratch = Scratch(spark, "revisits")
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fit = F.col("key").isNotNull() & (F.col("revisit") | F.col("id").isNotNull() & F.col("at").isNotNull())
+    # a revisit without a time stands after all others; revisits stand before the responses of their time, so that only
+    # earlier ones precede them
+    placed = records.filter(fit).withColumn("when", F.struct(F.col("at").isNull().alias("late"), "at"))
+    order = ["when", F.desc("revisit"), "id"]
+    cut = placed.repartitionByRange(slices, "key", *order, F.monotonically_increasing_id()).withColumn("slice", F.spark_partition_id())
+    cut = scratch.save("cut", cut)  # the slices of a second run might differ
+    whole = F.struct(*[F.col(c) for c in records.columns])
+    within = Window.partitionBy("key", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    near = cut.withColumn("near", F.last(F.when(~F.col("revisit"), whole), ignorenulls=True).over(within)).filter("revisit")
+    ends = cut.groupBy("key", "slice").agg(F.max_by(F.when(~F.col("revisit"), whole), F.when(~F.col("revisit"), F.struct("at", "id"))).alias("newest"))
+    before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # one row for each slice
+    carried = ends.withColumn("far", F.last("newest", ignorenulls=True).over(before)).filter("far IS NOT NULL").select("key", "slice", "far")
+    found = near.join(carried, ["key", "slice"], "left").select(*records.columns, F.coalesce("near", "far").alias("full"))
+    rest = records.filter("revisit AND key IS NULL").withColumn("full", F.lit(None).cast(found.schema["full"].dataType))
     return found.unionByName(rest)
 
 
-def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
+def resolve_revisits(records: DataFrame, slices: int | None = None) -> DataFrame:
     """(id, url_key, response_id, outcome, headers, n_chars) of each revisit.
 
     records: id long, url string, at long (capture time), revisit boolean,
@@ -72,9 +83,9 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
     differ) or ``no validator`` (none that both have); only resolved revisits
     have headers and n_chars of the response. A null revisit flag counts as a
     full response; null headers as none. A revisit without a time counts as later
-    than every response, a response without a time or id is none's. Ids of
-    revisits with a time are taken as unique; rows that repeat one are each
-    joined. Other columns are ignored.
+    than every response, a response without a time or id is none's. Rows that
+    repeat are each answered once. Headers and URLs of any length are compared
+    whole. Other columns are ignored; an empty table gives none.
     """
     rows = records.select(
         F.col("id").cast("long").alias("id"),
@@ -84,15 +95,8 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
         F.coalesce("headers", F.expr("CAST(map() AS map<string,string>)")).alias("headers"),
         F.col("n_chars").cast("long").alias("n_chars"),
     )
-    matched = latest_earlier(rows.select("id", "key", "at", "revisit"), slices)
-    asked = rows.filter("revisit").select("id", F.col("key").alias("url_key"), F.col("headers").alias("new"), "at")
-    timed = asked.filter("at IS NOT NULL").drop("at").join(matched, "id", "left")
-    newest = rows.filter("NOT revisit AND id IS NOT NULL AND at IS NOT NULL AND key IS NOT NULL").groupBy(F.col("key").alias("url_key"))
-    newest = newest.agg(F.max_by("id", F.struct("at", "id")).alias("response_id"))
-    timeless = asked.filter("at IS NULL").drop("at").join(newest, "url_key", "left")
-    asked = timed.unionByName(timeless)
-    full = rows.filter("NOT revisit").select(F.col("id").alias("response_id"), F.col("headers").alias("old"), "n_chars")
-    both = asked.join(full, "response_id", "left")
+    found = latest_earlier(rows, slices)
+    both = found.select("id", F.col("key").alias("url_key"), F.col("full.id").alias("response_id"), F.col("headers").alias("new"), F.col("full.headers").alias("old"), F.col("full.n_chars").alias("n_chars"))
     tag = [F.element_at(h, "etag") for h in ("new", "old")]
     date = [F.element_at(h, "last-modified") for h in ("new", "old")]
     outcome = (

@@ -589,3 +589,127 @@ def test_unigram_models():
     assert own.model.kind == pieces.UNIGRAM and own.encode(texts) == [other.encode(t) for t in texts]
     with pytest.raises(ValueError):
         pieces.Model(b"")
+
+
+# --- long, repeated and hot input
+
+
+def test_topk_of_very_large_components(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([-1, 1]) * 10.0 ** rng.randint(0, 12) * rng.random() for _ in range(3)]) for i in range(240)]
+    rows += [(1000, [1.7e308, 1.0, 1.0]), (1001, [-1.7e308, 2.0, 1.0]), (1002, [float("inf"), 0.0, 0.0])]
+    whole = {i: [int(x) * 1024 if abs(x) > 1e290 else int(np.floor(x * 1024)) for x in v] for i, v in rows if i != 1002}
+    want = []
+    for i, q in whole.items():
+        if i % 100 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in whole.items() if j != i)[:10]
+            want += [(i, r + 1, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(best)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), data_block=100)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_revisits_repeated_and_of_one_hot_url(spark):
+    rng = random.Random(2)
+    kind = "id long, url string, at long, revisit boolean, headers map<string,string>, n_chars long"
+    rows = [(i, "a.com/x", rng.randrange(400), rng.random() < 0.7, {"etag": str(i % 3)}, i) for i in range(600)]
+    rows += [(9000, "a.com/x", 200, True, {"etag": "1"}, 0)] * 3 + [(9001, "b.com", 5, True, {}, 0)] * 3
+    got = warc.resolve_revisits(spark.createDataFrame(rows, kind), 16).collect()
+    full = [r for r in rows if not r[3]]
+    best = lambda r: max(((f[2], f[0]) for f in full if f[1] == r[1] and f[2] < r[2]), default=(0, None))[1]
+    assert Counter((r["id"], r["response_id"]) for r in got) == Counter((r[0], best(r)) for r in rows if r[3])
+
+
+def test_near_duplicates_without_chance(spark):
+    rng = random.Random(11)
+    rows = [(i, t) for i, t in enumerate(t for _ in range(12) for t in copies(rng, text(rng, 40), 12, 5))]
+    rows += [(900, None), (901, ""), (902, "one"), (903, "one")]
+    sets = {}
+    for i, t in rows:
+        w = (t or "").split()
+        sets[i] = {tuple(w[k : k + 2]) for k in range(max(1, len(w) - 1))} if w else set()
+    union = components.UnionFind()
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and a and b and 100 * len(a & b) >= 80 * len(a | b):
+                union.union(i, j)
+    for exact in (True, False):
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, DOCS), shingle=2, exact=exact)
+        assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: union.find(i) for i in sets}
+
+
+def test_one_of_each_keeps_the_first_text_of_a_repeated_id(spark):
+    rows = [(1, "b c d e f g", "x")] + [(2, t, "y") for t in ("q r s t u", "k l m n o")] * 3
+    kept = near_dup.one_of_each(spark.createDataFrame(rows, DOCS + ", n_shingles string"), shingle=2)
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "b c d e f g", "x"), (2, "k l m n o", "y")]
+
+
+def test_models_do_not_depend_on_the_order_of_repeated_ids(spark):
+    rows = [(i, t) for i, t, _ in made_documents(300)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in made_documents(300)], "doc_id long, toxic int")
+    many = rows + [(7, f"other text number {k % 50}") for k in range(3000)]
+    pair = []
+    for made in (many, many[::-1]):
+        docs = spark.createDataFrame(made, DOCS).repartition(5)
+        chain, scorer = toxicity.train(docs, labels), quality.train(docs)
+        pair.append(([x.weights.tolist() for x in chain.links], scorer.weights.tolist()))
+    assert pair[0] == pair[1]
+
+
+def test_toxicity_with_given_categories(spark):
+    rows = made_documents(400)
+    labels = spark.createDataFrame([(i, y, int("idiot" in t)) for i, t, y in rows], "doc_id long, toxic int, threat int")
+    model = toxicity.train(spark.createDataFrame([r[:2] for r in rows], DOCS), labels, category_cols=("threat",))
+    assert [x.name for x in model.links] == ["threat", "toxic"]
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES, licenses.PER_EDIT, licenses.MOST_EDITS)
+    began = time.time()
+    assert len(scanner.base_places((" " + "under the mit license x " * 100_000).encode())) == 100_000
+    assert len(scanner.spans(" " + "released under the mit licence some text " * 10_000)) == 10_000
+    assert [b.text for b in blocks_of("<article><p>x</p>" + "<b>" * 50_000 + "</i>" * 100_000 + "</p>end")] == ["x", "end"]
+    assert time.time() - began < 30
+
+
+def plain_places(t):
+    """Base phrases word by word."""
+    words = [w.decode() for w in alnum_words((t or "").encode())]
+    found = [(i, label) for phrase, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    return len(words), sorted(found)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the test tables are not here")
+def test_license_base_places_against_a_plain_scan(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {r["doc_id"]: plain_places(r["text"]) for r in docs.collect()}
+    got = llm_queries.op6_license_scan(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(want) and sum(r["n_base"] for r in got) > 5
+    for r in got:
+        n, found = want[r["doc_id"]]
+        places = [i for i, _ in found]
+        assert (r["n_words"], r["n_base"], r["base_labels"]) == (n, len(found), ",".join(sorted({x for _, x in found})))
+        assert (r["first_word"], r["last_word"]) == (min(places, default=None), max(places, default=None))
+        assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+
+
+def test_a_long_item_is_searched_in_parts(spark, monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(decontaminate, "PART", 7)
+    long = text(rng, 200)
+    words = long.split()
+    docs = [(i, f"{text(rng, 5)} {' '.join(words[i * 9 : i * 9 + 14])} {text(rng, 4)}") for i in range(20)] + [(77, None), (78, long)]
+    items = [(1, long), (2, "u1 u2"), (3, ""), (4, None)]
+    found = decontaminate.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"), block_windows=40).collect()
+    assert {r["doc_id"]: sum(s["last"] - s["first"] + 1 for s in r["spans"]) for r in found} == {i: 14 for i in range(20)} | {77: 0, 78: 200}
+
+
+def test_pieces_without_text(spark):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    for data in (open(model_path(), "rb").read(), unigram_model()):
+        own, other = pieces.Pieces(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+        rng, n = random.Random(6), other.get_piece_size()
+        lists = [[rng.choice([rng.randrange(n), rng.randrange(3), rng.randrange(3, 259)]) for _ in range(rng.randrange(8))] for _ in range(3000)]
+        lists = [x for x in lists if not own.model.fold_spaces or not x or x[0] not in own.marked]
+        assert [a for a, b in zip(lists, own.decode(lists)) if b != other.decode(a)] == []
