@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mergestone.functions.predicates import COMPARISONS, Lit, Op, Ref
+
 MAXVALUE = "MAXVALUE"
 COLUMN = "_part"
 
@@ -75,6 +78,42 @@ class RangePartitioning:
         return out
 
 
+def partitions_of(tree, partitioning) -> set[int]:
+    """Partitions that can hold rows of which a normalised predicate is true.
+
+    Comparisons of the partition column with literals give ranges; for
+    partitions by year a date's year stands for it, and its partition stays in
+    on either side. AND intersects, OR unites; all else may be true anywhere.
+    Null rows, which are in the first partition, fulfil no comparison.
+    """
+    every = set(range(partitioning.count))
+    if not isinstance(tree, Op):
+        return every
+    if tree.name in ("and", "or"):
+        left, right = (partitions_of(a, partitioning) for a in tree.args)
+        return left & right if tree.name == "and" else left | right
+    if tree.name in ("false", "true"):
+        return every if tree.name == "true" else set()
+    column = tree.args[0] if tree.args else None
+    if not (isinstance(column, Ref) and column.name.lower() == partitioning.column.lower()):
+        return every
+    if tree.name == "is null":
+        return {0}
+    if tree.name not in COMPARISONS or tree.name == "<>" or not isinstance(tree.args[1], Lit):
+        return every
+    value = tree.args[1].value
+    if value is None:
+        return set()
+    if partitioning.year:
+        value = getattr(value, "year", None) or int(str(value)[:4])
+    try:
+        if tree.name == "=":
+            return set(partitioning.prune(equal=value))
+        return set(partitioning.prune(high=value) if tree.name in ("<", "<=") else partitioning.prune(low=value))
+    except (TypeError, ValueError):  # a literal of another type than the bounds
+        return every
+
+
 def make(kind: str, columns: Sequence[str], bounds=None, count: int | None = None, function: str | None = None):
     """A partitioning from its declaration; kinds that can't be written are errors."""
     if len(columns) != 1:
@@ -88,6 +127,32 @@ def make(kind: str, columns: Sequence[str], bounds=None, count: int | None = Non
     raise ValueError(f"{kind} partitions are not supported")
 
 
+def dump(partitioning) -> dict | None:
+    """A partitioning as plain values that JSON can hold."""
+    if partitioning is None:
+        return None
+    if isinstance(partitioning, HashPartitioning):
+        return {"kind": "hash", "column": partitioning.column, "count": partitioning.count, "year": partitioning.year}
+    plain = lambda b: {"date": b.isoformat()} if hasattr(b, "isoformat") else {"bytes": b.hex()} if isinstance(b, bytes) else b
+    return {"kind": "range", "column": partitioning.column, "bounds": [plain(b) for b in partitioning.bounds], "year": partitioning.year}
+
+
+def load(held: dict | None):
+    if held is None:
+        return None
+    if held["kind"] == "hash":
+        return HashPartitioning(held["column"], held["count"], held["year"])
+
+    def bound(b):
+        if not isinstance(b, dict):
+            return b
+        if "bytes" in b:
+            return bytes.fromhex(b["bytes"])
+        return datetime.datetime.fromisoformat(b["date"]) if "T" in b["date"] else datetime.date.fromisoformat(b["date"])
+
+    return RangePartitioning(held["column"], tuple(map(bound, held["bounds"])), held["year"])
+
+
 def routed(rows: DataFrame, partitioning) -> DataFrame:
     """The rows with their partition's number in ``_part``, as a column to write by."""
     return rows.withColumn(COLUMN, partitioning.route())
@@ -99,7 +164,7 @@ def pruned(rows: DataFrame, partitioning, low=None, high=None, equal=None) -> Da
     wanted = [low, high, equal]
     if partitioning.year:
         wanted = [None if v is None else int(str(v)[:4]) for v in wanted]
-    rows = rows.filter(F.col(COLUMN).isin(partitioning.prune(*wanted)))
+    rows = only(rows, partitioning.prune(*wanted))
     column = F.col(partitioning.column)
     for value, keep in ((low, column.__ge__), (high, column.__le__), (equal, column.__eq__)):
         if value is not None:
@@ -107,6 +172,11 @@ def pruned(rows: DataFrame, partitioning, low=None, high=None, equal=None) -> Da
     return rows
 
 
+def only(rows: DataFrame, numbers) -> DataFrame:
+    """Rows of the partitions of these numbers; a filter on the folders' column, which other folders never pass."""
+    return rows.filter(F.col(COLUMN).isin(sorted(numbers)) if numbers else F.lit(False))
+
+
 def hex_bound(text: str) -> bytes:
     """A hexadecimal literal, 0x41 or X'41', as the bytes that bound a binary column."""
     text = text.strip()

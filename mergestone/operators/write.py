@@ -106,16 +106,40 @@ def delete(target: DataFrame, gone: DataFrame, keys: Sequence[Key]) -> DataFrame
     return kept
 
 
-def apply_changes(
-    target: DataFrame, changes: DataFrame, keys: Sequence[Key], sequence: Sequence[str], change_col: str = "_change_type", deletes: bool = True, mode: str = UPSERT
-) -> DataFrame:
-    """The target after a changelog: preimages are ignored, the last change of each row counts, deletes only if enabled."""
+def split_changes(changes: DataFrame, keys: Sequence[Key], sequence: Sequence[str], change_col: str = "_change_type", deletes: bool = True, mode: str = UPSERT) -> tuple[DataFrame, DataFrame]:
+    """(rows to put, rows to delete) of a changelog: preimages are ignored, the last change of each row counts, deletes only if enabled."""
     if deletes and mode != UPSERT:
         raise ValueError("deletes need the write mode upsert")
     live = changes.filter(F.col(change_col) != "update_preimage")
     if not deletes:
         live = live.filter(F.col(change_col) != "delete")
     last = last_wins(live, keys, sequence)
-    put = last.filter(F.col(change_col) != "delete").select(*target.columns)
-    gone = last.filter(F.col(change_col) == "delete").select(*target.columns)
+    return last.filter(F.col(change_col) != "delete"), last.filter(F.col(change_col) == "delete")
+
+
+def apply_changes(
+    target: DataFrame, changes: DataFrame, keys: Sequence[Key], sequence: Sequence[str], change_col: str = "_change_type", deletes: bool = True, mode: str = UPSERT
+) -> DataFrame:
+    """The target after a changelog."""
+    put, gone = (x.select(*target.columns) for x in split_changes(changes, keys, sequence, change_col, deletes, mode))
     return delete(replace_upsert(target, put, keys), gone, keys)
+
+
+def taken_by(put: DataFrame | None, gone: DataFrame | None, keys: Sequence[Key]) -> dict[tuple[str, ...], DataFrame]:
+    """By key, the values whose rows a write takes away: all keys of rows put, and of rows deleted the first key without a null."""
+    out: dict[tuple[str, ...], DataFrame] = {}
+    rest = gone
+    for key in keys:
+        parts = [] if put is None else [put.select(*key)]
+        if rest is not None:
+            parts.append(rest.filter(all_present(tuple(key))).select(*key))
+            rest = rest.filter(~all_present(tuple(key)))
+        if parts:
+            out[tuple(key)] = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out
+
+
+def merged_partial(target: DataFrame, source: DataFrame, key: Key, update_columns: Sequence[str]) -> DataFrame:
+    """The rows of ``partial_upsert`` that the source names: updated ones whole, and new ones."""
+    hit = target.join(source.select(*key).distinct(), list(key), "left_semi").select(*target.columns)
+    return partial_upsert(hit, source, key, update_columns)

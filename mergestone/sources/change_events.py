@@ -146,11 +146,13 @@ def decode_compact(data: bytes) -> list[dict]:
     (key_size, term_size), sizes = tables[0], tables[1]
     start = r.at
     values_at = start + key_size
-    terms = _Reader(data, values_at + sum(sizes))
-    lengths = terms.run(terms.unsigned(), terms.unsigned)
-    words = [terms.take(n).decode() for n in lengths]
-    if terms.at != values_at + sum(sizes) + term_size:
-        raise ValueError("the dictionary has another size than told")
+    words: list[str] = []
+    if term_size:  # a message of resolved events alone has no dictionary
+        terms = _Reader(data, values_at + sum(sizes))
+        lengths = terms.run(terms.unsigned(), terms.unsigned)
+        words = [terms.take(n).decode() for n in lengths]
+        if terms.at != values_at + sum(sizes) + term_size:
+            raise ValueError("the dictionary has another size than told")
     word = lambda i: None if i < 0 else words[i]
     n = len(sizes)
     stamps, kinds = r.run(n, r.unsigned, summed=True), r.run(n, r.unsigned)
@@ -215,7 +217,7 @@ def encode_compact(events: list[dict]) -> bytes:
     keys = _steps([e["commit_version"] for e in events], _u) + b"".join(_u(e["type_code"]) for e in events)
     keys += _steps([e.get("partition", 0) for e in events], _s) + _steps(schemas, _s) + _steps(tables, _s)
     encoded = [w.encode() for w in words]
-    terms = _u(len(encoded)) + b"".join(_u(len(w)) for w in encoded) + b"".join(encoded)
+    terms = _u(len(encoded)) + b"".join(_u(len(w)) for w in encoded) + b"".join(encoded) if encoded else b""
     sizes = b"".join(_u(len(t)) + _steps(t, _s) for t in [[len(keys), len(terms)], [len(v) for v in values], *groups])
     return _u(1) + keys + b"".join(values) + terms + sizes + _u(len(sizes))[::-1]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -9,8 +10,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergestone.operators.versions import VersionedTable
-from mergestone.operators.write import apply_changes
+from mergestone.operators.versions import COUNTER_BITS, VersionedTable
+from mergestone.operators.write import split_changes, taken_by
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -57,24 +58,93 @@ def each(writer, f: Callable[[DataFrame, int], None]):
 
 
 def apply_stream(
-    changes: DataFrame, table: VersionedTable, keys: Sequence[Sequence[str]], sequence: Sequence[str], progress: str, deletes: bool = True
+    changes: DataFrame, table: VersionedTable, keys: Sequence[Sequence[str]], sequence: Sequence[str], progress: str, deletes: bool = True, columns: Sequence[str] = (), most_scans: int = 32
 ) -> None:
-    """Applies a changelog stream to a table, one published version a batch.
+    """Applies a changelog stream to a table: each batch is a layer with its last changes, published as one version.
 
     A batch that was published before a failure is not applied again: its number
-    is the table's version.
+    is noted with the version. From ``most_scans`` layers on the table is
+    rewritten as one.
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        done = table.versions()
-        if done and done[-1] >= number + 2:
+        held = table.manifest()
+        if held.get("batch", -1) >= number:
             return
-        table.commit(apply_changes(table.read(), batch, keys, sequence, deletes=deletes), number + 2)
+        rows, gone = split_changes(batch, keys, sequence, deletes=deletes)
+        names = list(columns) or table.read().columns
+        table.add(rows.select(*names), held["version"] + 1, taken_by(rows, gone, keys), held["partition_by"], held["version"], {"batch": number})
+        if table.scans() >= most_scans:
+            table.compact(held["version"] + 2)
 
     writer = changes.writeStream.option("checkpointLocation", progress).trigger(availableNow=True)
     each(writer, put).awaitTermination()
 
 
+def kafka_options(servers: str, topic: str | Sequence[str] = "", pattern: str = "", partitions: dict[str, list[int]] | None = None, group: str = "", start_ms: int | None = None, **more: str) -> dict[str, str]:
+    """Options of Spark's Kafka source: topics, a pattern of topics, or partitions by topic; from a time on, else from the earliest."""
+    named = [bool(topic), bool(pattern), bool(partitions)]
+    if sum(named) != 1:
+        raise ValueError("give either topics, a pattern or partitions")
+    out = {"kafka.bootstrap.servers": servers, "failOnDataLoss": "true"}
+    if topic:
+        out["subscribe"] = topic if isinstance(topic, str) else ",".join(topic)
+    elif pattern:
+        out["subscribePattern"] = pattern
+    else:
+        out["assign"] = json.dumps(partitions)
+    if group:
+        out["kafka.group.id"] = group
+    if start_ms is None:
+        out["startingOffsets"] = "earliest"
+    else:
+        out |= {"startingTimestamp": str(start_ms), "startingOffsetsByTimestampStrategy": "latest"}
+    return out | more
+
+
+def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """(key, value) messages of Kafka as an unbounded stream; the session needs Spark's Kafka package."""
+    return spark.readStream.format("kafka").options(**options).load().select("key", "value")
+
+
+#: How long before a snapshot its change log is read from, in milliseconds.
+OVERLAP_MS = 60_000
+
+
+def start_of_log(snapshot_version: int, override_ms: int | None = None) -> int:
+    """The time from which the log is read for a snapshot: a minute before it, or what the caller says."""
+    return override_ms if override_ms is not None else (snapshot_version >> COUNTER_BITS) - OVERLAP_MS
+
+
+def hybrid_stream(table: VersionedTable, log: DataFrame, key: Sequence[str], version: int | None = None) -> tuple[DataFrame, int]:
+    """A table's snapshot and then its changes, as one unbounded stream of changelog rows; and the snapshot's version.
+
+    log: a stream of changelog rows with commit_version and ``_change_type``.
+    Snapshot rows are inserts at the snapshot's version; of the log what is not
+    older counts, so that changes at that version come again and are harmless to
+    whoever applies them by key and version. The snapshot is read as a stream of
+    the files of a written copy, so the query's checkpoint covers both.
+    """
+    spark, held = table.spark, table.manifest(version)
+    rows = table.read(held["version"])
+    columns = [c for c in log.columns if c in rows.columns]
+    if set(key) - set(columns):
+        raise ValueError("the log lacks columns of the key")
+    made = rows.select(*columns, F.lit(held["version"]).cast("long").alias("commit_version"), F.lit("insert").alias("_change_type"), F.lit("SNAPSHOT").alias("source_event"))
+    place = f"{shared_folder(spark)}/snapshot"
+    made.write.parquet(place)
+    first = spark.readStream.schema(made.schema).parquet(place)
+    later = log.filter(F.col("commit_version") >= F.lit(held["version"])).select(*columns, "commit_version", "_change_type", F.lit("STREAMING").alias("source_event"))
+    return first.unionByName(later), held["version"]
+
+
+def refuse_limit(rows: DataFrame) -> DataFrame:
+    """The rows, unless they are a stream, on which a limit of rows has no meaning."""
+    if rows.isStreaming:
+        raise ValueError("a stream can't be limited to a number of rows")
+    return rows
+
+
 def snapshot_then_log(snapshot: DataFrame, log: DataFrame, snapshot_version: int, overlap: int = 60_000 << 18) -> DataFrame:
     """Rows of a snapshot and the changes after it, for a log that starts ``overlap`` before it.
 

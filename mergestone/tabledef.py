@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,6 +19,7 @@ class ColumnDef:
     type: types.MySQLType
     nullable: bool = True
     auto_increment: bool = False
+    auto_random: int = 0  # shard bits of generated ids; none if 0
 
     @property
     def field(self) -> T.StructField:
@@ -40,14 +42,15 @@ class TableDef:
 
     @staticmethod
     def of(name: str, columns: dict[str, str], primary_key=(), unique=(), partitioning=None) -> "TableDef":
-        """Columns as name → type text, which may end in NOT NULL and AUTO_INCREMENT."""
+        """Columns as name → type text, which may end in NOT NULL and AUTO_INCREMENT or AUTO_RANDOM(shard bits)."""
         out = []
         for column, text in columns.items():
             upper = text.upper()
-            kind = upper.replace("NOT NULL", "").replace("AUTO_INCREMENT", "").strip()
+            shards = re.search(r"\s*AUTO_RANDOM(?:\((\d+)\))?", upper)
+            kind = upper.replace("NOT NULL", "").replace("AUTO_INCREMENT", "").replace(shards[0] if shards else " AUTO_RANDOM", "").strip()
             kind = text[: len(kind)] if "(" in kind else kind
             low = column.lower()
-            out.append(ColumnDef(low, types.parse(kind), "NOT NULL" not in upper and low not in primary_key, "AUTO_INCREMENT" in upper))
+            out.append(ColumnDef(low, types.parse(kind), "NOT NULL" not in upper and low not in primary_key, "AUTO_INCREMENT" in upper, int(shards[1] or 5) if shards else 0))
         made = TableDef(name.lower(), tuple(out), tuple(c.lower() for c in primary_key), tuple(tuple(c.lower() for c in k) for k in unique), partitioning)
         for key in made.keys:
             if missing := set(key) - set(made.column_names):
@@ -62,13 +65,19 @@ class TableDef:
     def keys(self) -> list[tuple[str, ...]]:
         return ([self.primary_key] if self.primary_key else []) + list(self.unique)
 
+    @property
+    def type_names(self) -> dict[str, str]:
+        """MySQL type name of each column, as predicates want them; an unsigned integer goes by a signed type that holds it."""
+        wider = {"tinyint": "smallint", "smallint": "int", "mediumint": "int", "int": "bigint", "bigint": "decimal"}
+        return {c.name: wider[c.type.name] if c.type.unsigned else c.type.name for c in self.columns}
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType([c.field for c in self.columns])
 
     def dedup_keys(self, generated: bool) -> list[tuple[str, ...]]:
         """The keys that rows of a batch can collide on; those with a generated id can't."""
-        auto = {c.name for c in self.columns if c.auto_increment}
+        auto = {c.name for c in self.columns if c.auto_increment or c.auto_random}
         return [k for k in self.keys if not (generated and auto & set(k))]
 
     def check_columns(self, frame: DataFrame) -> None:
@@ -77,7 +86,7 @@ class TableDef:
             raise ValueError(f"{self.name} has columns {self.column_names}, not {frame.columns}")
 
     def conform(self, frame: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
-        """The frame's columns in the table's types; out-of-range integers, unknown ENUM values and nulls in NOT NULL columns raise. ``others`` are kept as they are."""
+        """The frame's columns in the table's types; out-of-range numbers, unknown ENUM values and nulls in NOT NULL columns raise. ``others`` are kept as they are."""
         out = []
         for c in self.columns:
             value = F.col(c.name)
@@ -88,8 +97,6 @@ class TableDef:
                     value = F.when(value.between(*[F.lit(str(b)).cast("decimal(20,0)") for b in (low, high)]) | value.isNull(), value).otherwise(
                         F.raise_error(F.lit(f"value out of range for column {c.name}"))
                     )
-            if c.type.name == "decimal":
-                value = F.round(value.cast("decimal(38,18)"), c.type.spark.scale) if c.type.spark.scale <= 18 else value
             if c.type.name == "enum":
                 values = F.array(*[F.lit(v) for v in c.type.arguments])
                 if isinstance(given, T.IntegralType):
@@ -100,7 +107,7 @@ class TableDef:
             if c.type.name in ("timestamp", "datetime") and isinstance(given, T.StringType):
                 value = value.try_cast(c.type.spark)  # the zero date is null
             value = value.cast(c.type.spark)
-            if not c.nullable and not c.auto_increment:
+            if not c.nullable and not c.auto_increment and not c.auto_random:
                 value = F.coalesce(value, F.raise_error(F.lit(f"null in NOT NULL column {c.name}")).cast(c.type.spark))
             out.append(value.alias(c.name))
         return frame.select(*out, *others)
