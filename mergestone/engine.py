@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergestone.functions import predicates, scalar
+from mergestone.functions import parser, predicates, scalar
 from mergestone.operators import dedup, partition, rowid, versions, write
 from mergestone.tabledef import TableDef
 
@@ -90,13 +90,15 @@ class Table:
     ) -> DataFrame:
         """Rows of a snapshot.
 
-        where is a predicate tree or a Column; of a partitioned table a tree, or
+        where is a condition as text, a predicate tree or a Column; of a partitioned table text or a tree, or
         between, (low, high) of the partition column, reads only the folders that
         can hold such rows; partitions names folders by number. metadata adds
         the version, its time and the source, by other names if a dictionary.
         """
         at = self.version_at(version, timestamp)
         rows, parted = self.store.read(at), self.definition.partitioning
+        if isinstance(where, str):
+            where = parser.parse(where)
         tree = None if where is None or isinstance(where, Column) else predicates.normalise(where, self.definition.type_names)
         if not parted and (between or partitions is not None):
             raise ValueError(f"{self.definition.name} has no partitions")
@@ -106,10 +108,9 @@ class Table:
             if partitions is not None:
                 rows = partition.only(rows, partitions)
             if tree is not None:
-                wanted = partition.partitions_of(tree, parted)
-                rows = rows if len(wanted) == parted.count else partition.only(rows, wanted)
+                rows = partition.matching(rows, parted, tree)
             rows = rows.drop(partition.COLUMN)
-        if where is not None:
+        if where is not None and not (parted and tree is not None):
             rows = rows.filter(where if tree is None else predicates.column(tree))
         if columns is not None:
             rows = rows.select(*[c.lower() for c in columns])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Ranges whose values are put in order apart from each other.
+#: Ranges at least whose values are put in order apart from each other; as many as shuffle partitions if these are more.
 RANGES = 32
 
 
@@ -22,7 +22,8 @@ def equi_depth(rows: DataFrame, column: str, buckets: int) -> DataFrame:
     values = rows.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
     total = rows.agg(F.count(column).alias("t"))  # one row
     # running counts: within ranges of the values first, then over the ranges, which approximate percentiles bound
-    bounds = rows.agg(F.percentile_approx(column, [i / RANGES for i in range(1, RANGES)]).alias("b")).first()["b"] or []
+    ranges = max(RANGES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = rows.agg(F.percentile_approx(column, [i / ranges for i in range(1, ranges)]).alias("b")).first()["b"] or []
     below = [(F.col("v") > F.lit(b)).cast("int") for b in sorted(set(bounds))]
     ranged = values.withColumn("_p", sum(below, F.lit(0)))
     own = F.sum("c").over(Window.partitionBy("_p").orderBy("v"))

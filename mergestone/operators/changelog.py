@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mergestone.operators.versions import as_of
+from mergestone.functions import scalar
+from mergestone.operators.ordered import greatest_before
+from mergestone.operators.versions import as_of, timestamp_of
+from mergestone.tabledef import ColumnDef, TableDef
 
 ROW, DDL, RESOLVED = 1, 2, 3
 
@@ -33,6 +37,60 @@ def to_changelog(events: DataFrame, columns: Sequence[str], keep_noop: bool = Fa
     return out.select(*rest, "_c._change_type", "_c._step", *[F.col(f"_c._row.{c}").alias(c) for c in columns])
 
 
+TYPE_NAMES = {ROW: "row_changed", DDL: "ddl", RESOLVED: "resolved"}
+
+
+def typed(events: DataFrame, definition: TableDef, metadata: dict[str, str] | bool = False) -> DataFrame:
+    """Decoded events with ``old`` and ``new`` as structs of a table's columns in its types, beside their other columns.
+
+    Values come as text: numbers and dates are cast, TIME becomes an interval,
+    binary is hexadecimal, numbers of ENUM and SET become their names.
+    Timestamps are in UTC. metadata adds the columns of ``event_metadata``.
+    """
+    if metadata:
+        events = event_metadata(events, metadata if isinstance(metadata, dict) else None)
+    side = lambda name: F.when(F.col(name).isNotNull(), F.struct(*[_value(F.col(name)[c.name], c).alias(c.name) for c in definition.columns])).alias(name)
+    return events.select(*[side(c) if c in ("old", "new") else F.col(f"`{c}`") for c in events.columns])
+
+
+def _value(text: Column, c: ColumnDef) -> Column:
+    kind, wanted = c.type.name, c.type.spark
+    if kind == "time":
+        return F.make_dt_interval(secs=(scalar.duration_nanos(text) / 1_000_000_000).cast("decimal(18,6)"))
+    if kind in ("binary", "varbinary", "tinyblob", "blob", "mediumblob", "longblob"):
+        return F.unhex(text)
+    if kind == "timestamp":
+        return F.concat(text, F.lit("+00:00")).try_cast(wanted)
+    if kind in ("date", "datetime"):
+        return text.try_cast(wanted)  # the zero date is null
+    names = [F.lit(v) for v in c.type.arguments]
+    number = text.try_cast("long")
+    if kind == "enum" and names:
+        return F.when(number.isNull(), text).otherwise(F.get(F.array(*names), (number - 1).cast("int")))
+    if kind == "set" and names:
+        picked = F.filter(F.transform(F.array(*names), lambda v, i: F.when(F.shiftright(number, i).bitwiseAND(F.lit(1)) == 1, v)), lambda v: v.isNotNull())
+        return F.when(number.isNull(), text).otherwise(F.array_join(picked, ","))
+    if kind == "bit" and isinstance(wanted, T.BooleanType):
+        return number == 1
+    return text.cast(wanted)
+
+
+def event_metadata(events: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Events with schema, table, commit_version, commit_timestamp, type, type_code, key, value and source_event; by other
+    names, and only those, if a dictionary says which."""
+    made = {
+        "schema": F.col("schema"), "table": F.col("table"), "commit_version": F.col("commit_version"), "commit_timestamp": timestamp_of(F.col("commit_version")),
+        "type": F.element_at(F.create_map(*[F.lit(x) for pair in TYPE_NAMES.items() for x in pair]), F.col("type_code").cast("int")), "type_code": F.col("type_code").cast("int"),
+        "key": F.to_json(F.struct(F.col("schema").alias("scm"), F.col("table").alias("tbl"), F.col("type_code").alias("t"), F.col("commit_version").alias("ts"))),
+        "value": F.to_json(F.struct("old", "new", *[c for c in ("ddl",) if c in events.columns])), "source_event": F.lit("STREAMING"),
+    }
+    chosen = names or {k: k for k in made}
+    if unknown := set(chosen) - set(made):
+        raise ValueError(f"unknown metadata {sorted(unknown)}")
+    taken = set(chosen.values())
+    return events.select(*[F.col(f"`{c}`") for c in events.columns if c not in taken], *[made[k].alias(v) for k, v in chosen.items()])
+
+
 def split_names(text: str | None) -> list[str]:
     """Names of an option, parted by commas, semicolons or bars, in lower case."""
     for mark in ";|":
@@ -63,13 +121,14 @@ def drop_replayed(events: DataFrame, objects: Sequence[str], arrival: str) -> Da
     """Row events in order of arrival, without those at or before a version that their object, or a resolved event, had reached.
 
     Resolved events reach for all objects of their stream and aren't returned.
+    Streams and objects are cut along their arrival, so one of them may hold
+    most events.
     """
-    before = lambda *by: Window.partitionBy(*by).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    resolved = F.max(F.when(F.col("type_code") == RESOLVED, F.col("commit_version"))).over(before("stream"))
-    marked = events.withColumn("_resolved", resolved).filter(F.col("type_code") != RESOLVED)
-    own = F.max("commit_version").over(before("stream", *objects))
-    reached: Column = F.greatest(F.coalesce(own, F.lit(-1)), F.coalesce("_resolved", F.lit(-1)))
-    return marked.withColumn("_reached", reached).filter("commit_version > _reached").drop("_resolved", "_reached")
+    resolved = F.when(F.col("type_code") == RESOLVED, F.col("commit_version"))
+    marked = greatest_before(events, ["stream"], arrival, resolved, "_resolved").filter(F.col("type_code") != RESOLVED)
+    marked = greatest_before(marked, ["stream", *objects], arrival, F.col("commit_version"), "_own")
+    reached: Column = F.greatest(F.coalesce("_own", F.lit(-1)), F.coalesce("_resolved", F.lit(-1)))
+    return marked.filter(F.col("commit_version") > reached).drop("_resolved", "_own")
 
 
 def fill_preimage(old: Column, new: Column) -> Column:

@@ -30,6 +30,13 @@ def last_wins(rows: DataFrame, keys: Sequence[Key], sequence: Sequence[str]) ->
     A row is evicted by any later row that shares a key with it, whether or not
     that row stays itself; so those stay that are the last of each of their keys.
     """
+    if len(keys) == 1:
+        # one partial aggregation; rows without the key are groups of their own
+        key = tuple(keys[0])
+        apart = F.when(~all_present(key), F.monotonically_increasing_id()).alias("_apart")
+        whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+        last = rows.groupBy(*[F.col(c).alias(f"_k_{c}") for c in key], apart).agg(F.max_by(whole, F.struct(*sequence)).alias("_row"))
+        return last.select("_row.*")
     order = [F.col(c).desc() for c in sequence]
     marks = {f"_last_{i}": _place(k, order) for i, k in enumerate(keys)}
     out = rows.withColumns(marks)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mergestone.functions.predicates import COMPARISONS, Lit, Op, Ref
+from mergestone.functions.predicates import COMPARISONS, Lit, Op, Ref, column
 
 MAXVALUE = "MAXVALUE"
 COLUMN = "_part"
@@ -94,8 +94,8 @@ def partitions_of(tree, partitioning) -> set[int]:
         return left & right if tree.name == "and" else left | right
     if tree.name in ("false", "true"):
         return every if tree.name == "true" else set()
-    column = tree.args[0] if tree.args else None
-    if not (isinstance(column, Ref) and column.name.lower() == partitioning.column.lower()):
+    first = tree.args[0] if tree.args else None
+    if not (isinstance(first, Ref) and first.name.lower() == partitioning.column.lower()):
         return every
     if tree.name == "is null":
         return {0}
@@ -165,8 +165,8 @@ def pruned(rows: DataFrame, partitioning, low=None, high=None, equal=None) -> Da
     if partitioning.year:
         wanted = [None if v is None else int(str(v)[:4]) for v in wanted]
     rows = only(rows, partitioning.prune(*wanted))
-    column = F.col(partitioning.column)
-    for value, keep in ((low, column.__ge__), (high, column.__le__), (equal, column.__eq__)):
+    value_of = F.col(partitioning.column)
+    for value, keep in ((low, value_of.__ge__), (high, value_of.__le__), (equal, value_of.__eq__)):
         if value is not None:
             rows = rows.filter(keep(F.lit(value)))
     return rows
@@ -177,6 +177,12 @@ def only(rows: DataFrame, numbers) -> DataFrame:
     return rows.filter(F.col(COLUMN).isin(sorted(numbers)) if numbers else F.lit(False))
 
 
+def matching(rows: DataFrame, partitioning, tree) -> DataFrame:
+    """Rows, written by ``_part``, of which a normalised predicate is true; only the folders that can hold some are read."""
+    wanted = partitions_of(tree, partitioning)
+    return (rows if len(wanted) == partitioning.count else only(rows, wanted)).filter(column(tree))
+
+
 def hex_bound(text: str) -> bytes:
     """A hexadecimal literal, 0x41 or X'41', as the bytes that bound a binary column."""
     text = text.strip()

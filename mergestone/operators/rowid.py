@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Values of the order column in one bucket of the numbering.
-WIDTH = 4096
+#: Rows of a bucket of the numbering, if the order column's values are spread evenly; and buckets at most.
+ROWS, MOST_BUCKETS = 100_000, 100_000
 STEP = 30_000
 
 
-def numbered(rows: DataFrame, order_col: str, name: str, width: int = WIDTH) -> DataFrame:
+def numbered(rows: DataFrame, order_col: str, name: str, width: int | None = None) -> DataFrame:
     """Rows numbered from 1 in order of an integer column without nulls, ties at will, without sorting all in one task.
 
     Rows are counted by bucket of the column, the counts of the buckets before
-    are added up, and each bucket numbers its own rows.
+    are added up, and each bucket numbers its own rows. Without ``width`` the
+    column's range is cut into buckets by the number of rows.
     """
-    bucket = F.floor(F.col(order_col) / width)
+    if width is None:
+        span = rows.agg(F.min(order_col).alias("low"), F.max(order_col).alias("high"), F.count("*").alias("n")).first()
+        buckets = min(MOST_BUCKETS, max(1, span["n"] // ROWS))
+        width = max(1, ((span["high"] or 0) - (span["low"] or 0)) // buckets + 1)
+    bucket = F.floor(F.col(order_col) / F.lit(width))
     counts = rows.groupBy(bucket.alias("_b")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each bucket
     starts = counts.withColumn("_s", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

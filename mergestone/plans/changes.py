@@ -6,7 +6,7 @@ import base64
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from mergestone.operators import changelog, versions
 from mergestone.plans.base import Book, table
 from mergestone.sources import change_events
 from mergestone.streaming import streams
+from mergestone.tabledef import TableDef
 
 book = Book()
 QUERIES, ORACLE_SQL = book.queries, book.sql
@@ -77,34 +78,40 @@ def cdc_resolved_ts_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _messages(codec: str):
     """Encodes rows (k, price, status) as messages of up to 100 events; every tenth is a delete, every seventh an update."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            rows = list(batch.itertuples(index=False))
+            keys, values = [], []
+            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
             for i in range(0, len(rows), 100):
                 events = []
                 for k, price, status in rows[i : i + 100]:
                     if codec == "framed":
                         row = {
-                            "K": {"t": 8, "h": True, "f": 11, "v": int(k)},
-                            "Price": {"t": 5, "f": 0, "v": float(price)},
+                            "K": {"t": 8, "h": True, "f": 11, "v": k},
+                            "Price": {"t": 5, "f": 0, "v": price},
                             "Status": {"t": 0xFC, "f": 0, "v": base64.b64encode(status.encode()).decode()},
                         }
                         body = {"d": row} if k % 10 == 0 else {"u": row, "p": {"K": row["K"]}} if k % 7 == 0 else {"u": row}
-                        events.append(({"scm": "shop", "tbl": "orders", "t": 1, "ts": int(k) * 4}, body))
+                        events.append(({"scm": "shop", "tbl": "orders", "t": 1, "ts": k * 4}, body))
                     else:
-                        row = [("K", 8, 3, change_events.integer_body(int(k))), ("Price", 0xF6, 0, repr(float(price)).encode()), ("Status", 15, 0, status.encode())]
+                        row = [("K", 8, 3, change_events.integer_body(k)), ("Price", 0xF6, 0, repr(price).encode()), ("Status", 15, 0, status.encode())]
                         sides = {"old": row} if k % 10 == 0 else {"old": row[:1], "new": row} if k % 7 == 0 else {"new": row}
-                        events.append({"schema": "shop", "table": "orders", "type_code": 1, "commit_version": int(k) * 4, **sides})
-                out.append(change_events.encode_framed(events) if codec == "framed" else (b"", change_events.encode_compact(events)))
-            yield pd.DataFrame(out, columns=["key", "value"])
+                        events.append({"schema": "shop", "table": "orders", "type_code": 1, "commit_version": k * 4, **sides})
+                key, value = change_events.encode_framed(events) if codec == "framed" else (b"", change_events.encode_compact(events))
+                keys.append(key)
+                values.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(values, pa.binary())], names=["key", "value"])
 
     return run
 
 
-def _decoded(spark, sf_dir, codec: str) -> DataFrame:
+def _order_events(spark, sf_dir, codec: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
-    events = change_events.decode(rows.mapInPandas(_messages(codec), "key binary, value binary"), codec)
+    return change_events.decode(rows.mapInArrow(_messages(codec), "key binary, value binary"), codec)
+
+
+def _decoded(spark, sf_dir, codec: str) -> DataFrame:
+    events = _order_events(spark, sf_dir, codec)
     side = F.coalesce("new", "old")
     kind = F.when(F.col("new").isNull(), "delete").when(F.col("old").isNull(), "insert").otherwise("update")
     return events.select("commit_version", side["k"].cast("long").alias("k"), side["price"].cast("double").alias("price"), side["status"].alias("status"), kind.alias("kind"))
@@ -125,6 +132,41 @@ def cdc_binary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded(spark, sf_dir, "compact")
 
 
+ORDER = TableDef.of("orders", {"k": "bigint NOT NULL", "price": "decimal(12,2)", "status": "enum('F','O','P')"}, primary_key=("k",))
+
+
+@book.add("""
+    SELECT o_orderkey * 4 AS commit_version, o_orderkey AS k, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price, o_orderstatus AS status,
+        CASE WHEN o_orderkey % 10 = 0 THEN 'delete' WHEN o_orderkey % 7 = 0 THEN 'update_postimage' ELSE 'insert' END AS _change_type FROM orders""")
+def cdc_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded events as changelog rows of a table's types; preimages left out."""
+    rows = changelog.to_changelog(changelog.typed(_order_events(spark, sf_dir, "compact"), ORDER), ORDER.column_names)
+    return rows.filter("_change_type <> 'update_preimage'").select("commit_version", "k", F.col("price").cast("string").alias("price"), "status", "_change_type")
+
+
+@book.add("""
+    SELECT o_orderkey AS k, 'shop' AS "schema", 'orders' AS tbl, o_orderkey * 4 AS commit_version, (o_orderkey * 4) >> 18 AS commit_millis, 'row_changed' AS "type", 1 AS type_code,
+        '{"scm":"shop","tbl":"orders","t":1,"ts":' || (o_orderkey * 4) || '}' AS "key", 'STREAMING' AS source_event FROM orders""")
+def cdc_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = {k: k for k in ("schema", "commit_version", "commit_timestamp", "type", "type_code", "key", "source_event")} | {"table": "tbl"}
+    events = changelog.event_metadata(_order_events(spark, sf_dir, "compact"), names)
+    return events.select(F.coalesce("new", "old")["k"].cast("long").alias("k"), "schema", "tbl", "commit_version", F.unix_millis("commit_timestamp").alias("commit_millis"), "type", "type_code", "key", "source_event")
+
+
+@book.add("SELECT event_id * 4 AS commit_version, CAST(NULL AS VARCHAR) AS tbl FROM events")
+def cdc_resolved_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of resolved events alone, which have no dictionary of names."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            made = [[{"schema": None, "table": None, "type_code": changelog.RESOLVED, "commit_version": i * 4} for i in sorted(ids[k : k + 50])] for k in range(0, len(ids), 50)]
+            yield pa.RecordBatch.from_arrays([pa.array([change_events.encode_compact(m) for m in made], pa.binary())], names=["value"])
+
+    messages = table(spark, sf_dir, "events").select("event_id").mapInArrow(encode, "value binary")
+    return change_events.decode(messages, "compact").filter(F.col("type_code") == changelog.RESOLVED).select("commit_version", F.col("table").alias("tbl"))
+
+
 @book.add("""
     SELECT (o_orderkey * 1000) << 18 AS commit_version, o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN 'X' ELSE o_orderstatus END AS old_status,
         CASE WHEN o_orderkey % 3 <> 2 THEN o_orderstatus END AS new_status FROM orders""")
@@ -155,16 +197,16 @@ def _bounds(rows: DataFrame, *rest: str) -> DataFrame:
     SELECT epoch_ms(time_bucket(INTERVAL 1 hour, ts)) AS start_ms, epoch_ms(time_bucket(INTERVAL 1 hour, ts)) + 3600000 AS end_ms, event_type, count(*) AS n
     FROM events GROUP BY ALL""")
 def stream_tumble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _stream(spark, sf_dir).withWatermark("ts", "1 hour").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"))
-    return _bounds(streams.run_to_end(counts, "complete"), "event_type", "n")
+    counts = streams.windows_to_end(_stream(spark, sf_dir), "ts", "1 hour", lambda e: e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n")))
+    return _bounds(counts, "event_type", "n")
 
 
 @book.add("""
     SELECT epoch_ms(w) AS start_ms, epoch_ms(w) + 7200000 AS end_ms, count(*) AS n
     FROM (SELECT unnest([time_bucket(INTERVAL 1 hour, ts), time_bucket(INTERVAL 1 hour, ts) - INTERVAL 1 hour]) AS w FROM events) GROUP BY ALL""")
 def stream_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _stream(spark, sf_dir).groupBy(F.window("ts", "2 hours", "1 hour")).agg(F.count("*").alias("n"))
-    return _bounds(streams.run_to_end(counts, "complete"), "n")
+    counts = streams.windows_to_end(_stream(spark, sf_dir), "ts", "1 hour", lambda e: e.groupBy(F.window("ts", "2 hours", "1 hour")).agg(F.count("*").alias("n")))
+    return _bounds(counts, "n")
 
 
 @book.add("""
@@ -172,8 +214,7 @@ def stream_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
     s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS number FROM g)
     SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 21600000000 AS end_us, count(*) AS n FROM s GROUP BY user_id, number""")
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = _stream(spark, sf_dir).groupBy(F.session_window("ts", "6 hours").alias("window"), "user_id").agg(F.count("*").alias("n"))
-    out = streams.run_to_end(sessions, "complete")
+    out = streams.windows_to_end(_stream(spark, sf_dir), "ts", "1 hour", lambda e: e.groupBy(F.session_window("ts", "6 hours").alias("window"), "user_id").agg(F.count("*").alias("n")))
     return out.select("user_id", F.unix_micros("window.start").alias("start_us"), F.unix_micros("window.end").alias("end_us"), "n")
 
 

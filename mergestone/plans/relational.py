@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mergestone.functions import predicates as P
-from mergestone.functions import scalar, statistics
+from mergestone.functions import parser, scalar, statistics
+from mergestone.operators import lookup, ordered
 from mergestone.plans.base import Book, table
 
 book = Book()
@@ -53,7 +54,7 @@ def index_lookup_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _part(spark, sf_dir, tree) -> DataFrame:
     """Rows of part by a predicate tree: the store's part of it first, then all of it."""
-    tree = P.normalise(tree)
+    tree = P.normalise(tree, PART_TYPES)
     first = P.supported(tree, PART_TYPES)
     rows = table(spark, sf_dir, "part")
     return (rows if first is None else rows.filter(P.column(first))).filter(P.column(tree)).select("p_partkey", "p_name", "p_size")
@@ -90,6 +91,18 @@ _predicate(
 )
 
 
+_predicate("pred_cast_keeps", op("=", P.Cast(ref("p_retailprice"), "int"), lit(1000)), "CAST(trunc(p_retailprice) AS INTEGER) = 1000")
+_predicate("pred_domain_none", P.of_domain("p_size"), "false")
+_predicate("pred_domain_all", P.of_domain("p_size", everything=True), "true")
+_predicate("pred_overflow", op("or", op(">", ref("p_size"), lit(1 << 40)), op("=", ref("p_size"), lit(9))), "p_size > 1099511627776 OR p_size = 9")
+
+
+@book.add("SELECT p_partkey, p_name, p_size FROM part WHERE p_size BETWEEN 5 AND 9 AND NOT (p_name LIKE 'r%' OR p_brand IS NULL) OR p_size IN (50, 49)")
+def pred_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A condition given as text."""
+    return _part(spark, sf_dir, parser.parse("p_size BETWEEN 5 AND 9 AND NOT (p_name LIKE 'r%' OR p_brand IS NULL) OR p_size IN (50, 49)"))
+
+
 @book.add("SELECT p_partkey, p_name FROM part WHERE starts_with(p_name, 'hot') AND ends_with(p_name, 'plate') OR contains(p_name, ' ro')")
 def pred_prefix_suffix_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.col("p_name")
@@ -301,9 +314,10 @@ def lookup_join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_customers(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select("c_custkey", "c_name")
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0").select("o_orderkey", "o_custkey")
-    return o, c
+    """Both whole tables; some keys are null or negative, so that rows of either side stay without a partner."""
+    k, c = F.col("o_orderkey"), F.col("c_custkey")
+    customers = table(spark, sf_dir, "customer").select(F.when(c % 3 == 0, -c).otherwise(c).alias("c_custkey"), "c_name")
+    return table(spark, sf_dir, "orders").select(k, F.when(k % 5 != 0, F.col("o_custkey")).alias("o_custkey")), customers
 
 
 for _kind in ("inner", "left", "right", "full"):
@@ -314,8 +328,8 @@ for _kind in ("inner", "left", "right", "full"):
 
     _joined.__name__ = f"join_{_kind}"
     book.add(f"""
-        SELECT o_orderkey, o_custkey, c_custkey, c_name FROM (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 <> 0) o
-        {_kind.upper()} JOIN (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0) c ON o_custkey = c_custkey""")(_joined)
+        SELECT o_orderkey, o_custkey, c_custkey, c_name FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS o_custkey FROM orders) o
+        {_kind.upper()} JOIN (SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_name FROM customer) c ON o_custkey = c_custkey""")(_joined)
 
 
 @book.add("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 200000)")
@@ -348,10 +362,10 @@ def join_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     ON v.user_id = p.user_id AND v.event_type = 'view' AND v.event_id < p.event_id
     WHERE p.event_type = 'purchase' GROUP BY p.event_id""")
 def join_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest view before each purchase of a user, by one window instead of a join."""
-    before = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.last(F.when(F.col("event_type") == "view", F.col("event_id")), ignorenulls=True).over(before)
-    return table(spark, sf_dir, "events").withColumn("last_view", seen).filter("event_type = 'purchase'").select("event_id", "last_view")
+    """The latest view before each purchase of a user, by windows over slices instead of a join."""
+    view = F.when(F.col("event_type") == "view", F.col("event_id"))
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return ordered.latest_before(rows, ["user_id"], "event_id", view, "last_view").filter("event_type = 'purchase'").select("event_id", "last_view")
 
 
 # --- windows and set operations
@@ -388,29 +402,92 @@ def win_frame_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two(spark, sf_dir):
-    n = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")), table(spark, sf_dir, "supplier").filter("s_nationkey < 20").select(F.col("s_nationkey").alias("k"))
-    return n
+    """Nations of customers, and those of suppliers moved on by five, so that each side has some that the other lacks."""
+    return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")), table(spark, sf_dir, "supplier").select((F.col("s_nationkey") + 5).alias("k"))
 
 
-@book.add("SELECT k, count(*) AS n FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier WHERE s_nationkey < 20) GROUP BY k")
+_A, _B = "SELECT c_nationkey AS k FROM customer", "SELECT s_nationkey + 5 AS k FROM supplier"
+
+
+@book.add(f"SELECT k, count(*) AS n FROM ({_A} UNION ALL {_B}) GROUP BY k")
 def union_all_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of both, counted by value."""
     a, b = _two(spark, sf_dir)
     return a.unionByName(b).groupBy("k").agg(F.count("*").alias("n"))
 
 
-@book.add("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_nationkey < 20")
+@book.add(f"{_A} UNION {_B}")
+def union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = _two(spark, sf_dir)
+    return a.unionByName(b).distinct()
+
+
+@book.add(f"{_A} INTERSECT {_B}")
 def intersect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = _two(spark, sf_dir)
     return a.intersect(b)
 
 
-@book.add("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_nationkey < 20")
+@book.add(f"{_A} INTERSECT ALL {_B}")
+def intersect_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = _two(spark, sf_dir)
+    return a.intersectAll(b)
+
+
+@book.add(f"{_A} EXCEPT {_B}")
 def except_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = _two(spark, sf_dir)
     return a.subtract(b)
 
 
-@book.add("SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier WHERE s_nationkey < 20")
+@book.add(f"{_A} EXCEPT ALL {_B}")
 def except_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = _two(spark, sf_dir)
     return a.exceptAll(b)
+
+
+# --- arrays, maps, sketches within their bounds, look-ups
+
+
+@book.add("""
+    SELECT c_nationkey, len(a) AS n, a[1] AS least, list_contains(a, 7) AS has_seven, list_sum(list_filter(a, lambda x: x % 2 = 0))::BIGINT AS even, array_to_string(a[1:3], '-') AS first
+    FROM (SELECT c_nationkey, list_sort(list(c_custkey)) AS a FROM customer WHERE c_custkey <= 1000 GROUP BY c_nationkey)""")
+def array_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = F.col("a")
+    rows = table(spark, sf_dir, "customer").filter("c_custkey <= 1000").groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_custkey")).alias("a"))
+    even = F.filter(a, lambda x: x % 2 == 0)
+    return rows.select(
+        "c_nationkey", F.size(a).cast("long").alias("n"), a[0].alias("least"), F.array_contains(a, 7).alias("has_seven"),
+        F.when(F.size(even) > 0, F.aggregate(even, F.lit(0).cast("long"), lambda s, x: s + x)).alias("even"), F.array_join(F.slice(a, 1, 3), "-").alias("first"),
+    )
+
+
+@book.add("SELECT p_partkey, p_brand AS brand, CAST(NULL AS VARCHAR) AS missing, 2 AS size, 'brand,type' AS keys FROM part")
+def map_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.create_map(F.lit("type"), F.col("p_type"), F.lit("brand"), F.col("p_brand"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", m.alias("m"))
+    return rows.select("p_partkey", F.col("m")["brand"].alias("brand"), F.try_element_at("m", F.lit("colour")).alias("missing"), F.size("m").alias("size"), F.array_join(F.array_sort(F.map_keys("m")), ",").alias("keys"))
+
+
+@book.add("SELECT true AS near, count(*) AS parts FROM (SELECT DISTINCT l_partkey FROM lineitem)")
+def approx_distinct_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The estimate is within five times its relative standard deviation of the exact number."""
+    rows = table(spark, sf_dir, "lineitem").agg(F.approx_count_distinct("l_partkey", 0.01).alias("a"), F.countDistinct("l_partkey").alias("parts"))
+    return rows.select((F.abs(F.col("a") - F.col("parts")) <= 0.05 * F.col("parts")).alias("near"), "parts")
+
+
+@book.add("SELECT l_suppkey, count(*) AS n, true AS bounded FROM lineitem GROUP BY l_suppkey")
+def cm_sketch_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each count is no more than the sketch's bound, and that no more than the share of all that its width allows."""
+    lines = table(spark, sf_dir, "lineitem")
+    sketch = statistics.CountMin.parse(bytes(lines.agg(F.count_min_sketch("l_suppkey", F.lit(0.001), F.lit(0.999), F.lit(7)).alias("s")).first()["s"]))
+    counts = lines.groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    held = F.udf(lambda k, n: n <= sketch.most(k) <= n + 0.002 * sketch.total, "boolean")  # one row for each supplier
+    return counts.select("l_suppkey", "n", held("l_suppkey", "n").alias("bounded"))
+
+
+@book.add("SELECT event_id, user_id, c_name FROM events LEFT JOIN customer ON user_id = c_custkey")
+def lookup_join_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broadcast if the dimension has few rows, else joined by a shuffle."""
+    dim = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
+    return lookup.lookup_join(table(spark, sf_dir, "events").select("event_id", "user_id"), dim, ["user_id"]).select("event_id", "user_id", "c_name")

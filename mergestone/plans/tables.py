@@ -7,8 +7,11 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mergestone.engine import MINIBATCH, Table, WriteOptions
+from mergestone.functions import parser, predicates
 from mergestone.operators import dedup, partition, rowid, versions, write
 from mergestone.plans.base import Book, table
+from mergestone.streaming import streams
 from mergestone.tabledef import TableDef
 
 book = Book()
@@ -69,31 +72,42 @@ def part_route_range_columns_string(spark: SparkSession, sf_dir: str) -> DataFra
     return partition.routed(rows, BY_SEGMENT).select("c_custkey", "_part")
 
 
-@book.add("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice BETWEEN 60000 AND 140000")
+def _laid_out(spark, rows: DataFrame, partitioning) -> DataFrame:
+    """The rows, written by partition and read back."""
+    place = f"{streams.shared_folder(spark)}/table"
+    partition.routed(rows, partitioning).write.partitionBy(partition.COLUMN).parquet(place)
+    return spark.read.schema(f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema)}, {partition.COLUMN} int").parquet(place)
+
+
+def _where(text: str, types: dict[str, str]):
+    return predicates.normalise(parser.parse(text), types)
+
+
+@book.add("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice BETWEEN 60000 AND 140000 OR o_totalprice < 10000")
 def part_prune_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = partition.routed(_orders(spark, sf_dir), BY_PRICE)
-    return partition.pruned(rows, BY_PRICE, low=60_000.0, high=140_000.0).select("o_orderkey", "o_totalprice")
+    """A condition's ranges name the folders that are read."""
+    rows = _laid_out(spark, _orders(spark, sf_dir).select("o_orderkey", "o_totalprice"), BY_PRICE)
+    return partition.matching(rows, BY_PRICE, _where("o_totalprice BETWEEN 60000 AND 140000 OR o_totalprice < 10000", {"o_totalprice": "double"})).drop(partition.COLUMN)
 
 
 @book.add("SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1998-02-01' AND o_orderdate <= TIMESTAMP '1999-03-01'")
 def part_prune_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A condition on the date becomes one on the partitions of its years."""
-    rows = partition.routed(_orders(spark, sf_dir), BY_YEAR)
-    low, high = datetime.datetime(1998, 2, 1), datetime.datetime(1999, 3, 1)
-    wanted = BY_YEAR.prune(low.year, high.year)
-    day = F.col("o_orderdate")
-    return rows.filter(F.col("_part").isin(wanted)).filter((day >= F.lit(str(low)).cast("timestamp_ntz")) & (day <= F.lit(str(high)).cast("timestamp_ntz"))).select("o_orderkey")
+    rows = _laid_out(spark, _orders(spark, sf_dir).select("o_orderkey", "o_orderdate"), BY_YEAR)
+    return partition.matching(rows, BY_YEAR, _where("o_orderdate >= TIMESTAMP '1998-02-01' AND o_orderdate <= TIMESTAMP '1999-03-01'", {"o_orderdate": "datetime"})).select("o_orderkey")
 
 
 @book.add("SELECT o_orderkey FROM orders WHERE o_orderkey = 4242")
 def part_prune_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partition.pruned(partition.routed(_orders(spark, sf_dir), BY_ID), BY_ID, equal=4242).select("o_orderkey")
+    rows = _laid_out(spark, _orders(spark, sf_dir).select("o_orderkey"), BY_ID)
+    return partition.matching(rows, BY_ID, _where("4242 = o_orderkey", {"o_orderkey": "bigint"})).select("o_orderkey")
 
 
 @book.add("SELECT o_orderkey FROM orders WHERE o_totalprice >= 50000 AND o_totalprice < 300000")
 def part_select_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of named partitions."""
-    return partition.routed(_orders(spark, sf_dir), BY_PRICE).filter(F.col("_part").isin(1, 2)).select("o_orderkey")
+    rows = _laid_out(spark, _orders(spark, sf_dir).select("o_orderkey", "o_totalprice"), BY_PRICE)
+    return partition.only(rows, (1, 2)).select("o_orderkey")
 
 
 # --- snapshots: events as the version log of a table of users
@@ -189,20 +203,22 @@ def dup_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.duplicate_keys(table(spark, sf_dir, "lineitem"), ("l_orderkey", "l_linenumber"))
 
 
-# --- writes: two thirds of orders are the target, a source overlaps half of it
+# --- writes: all orders are the target and all are the source, each with some keys moved away, so that half of the rest collide
 
 
 def _target(spark, sf_dir):
-    return _orders(spark, sf_dir).filter("o_orderkey % 3 <> 0").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    k = F.col("o_orderkey")
+    return _orders(spark, sf_dir).select(F.when(k % 3 != 0, k).otherwise(k + 1_000_000_000).alias("o_orderkey"), "o_custkey", "o_orderstatus", "o_totalprice")
 
 
-def _source(spark, sf_dir):
+def _source(spark, sf_dir, moved: int = 0):
+    k = F.col("o_orderkey")
     changed = F.round(F.col("o_totalprice") + 1, 2).alias("o_totalprice")
-    return _orders(spark, sf_dir).filter("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey", F.lit("N").alias("o_orderstatus"), changed)
+    return _orders(spark, sf_dir).select((F.when(k % 2 == 0, k).otherwise(k + 2_000_000_000) + moved).alias("o_orderkey"), "o_custkey", F.lit("N").alias("o_orderstatus"), changed)
 
 
-_T = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0)"
-_S = "(SELECT o_orderkey, o_custkey, 'N' AS o_orderstatus, round(o_totalprice + 1, 2) AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0)"
+_T = "(SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey ELSE o_orderkey + 1000000000 END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders)"
+_S = "(SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE o_orderkey + 2000000000 END AS o_orderkey, o_custkey, 'N' AS o_orderstatus, round(o_totalprice + 1, 2) AS o_totalprice FROM orders)"
 KEY = [("o_orderkey",)]
 
 
@@ -211,9 +227,9 @@ def append_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write.conflicts(_target(spark, sf_dir), _source(spark, sf_dir), KEY)
 
 
-@book.add(f"SELECT * FROM {_T} UNION ALL SELECT * FROM {_S} WHERE o_orderkey % 3 = 0")
+@book.add(f"SELECT * FROM {_T} UNION ALL SELECT o_orderkey + 5000000000, o_custkey, o_orderstatus, o_totalprice FROM {_S}")
 def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write.append(_target(spark, sf_dir), _source(spark, sf_dir).filter("o_orderkey % 3 = 0"), KEY)
+    return write.append(_target(spark, sf_dir), _source(spark, sf_dir, 5_000_000_000), KEY)
 
 
 @book.add(f"SELECT * FROM {_T} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_S}) UNION ALL SELECT * FROM {_S}")
@@ -221,6 +237,32 @@ def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write.replace_upsert(_target(spark, sf_dir), _source(spark, sf_dir), KEY)
 
 
+ORDERS = TableDef.of("orders", {"o_orderkey": "bigint NOT NULL", "o_custkey": "bigint", "o_orderstatus": "varchar(1)", "o_totalprice": "double"}, primary_key=("o_orderkey",))
+
+
+@book.add(f"SELECT * FROM {_T} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_S}) UNION ALL SELECT * FROM {_S} WHERE o_orderkey % 10 <> 0")
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is appended to, upserted and deleted from; each write adds a layer."""
+    held = Table(spark, f"{streams.shared_folder(spark)}/orders", ORDERS).create()
+    held.write(_target(spark, sf_dir))
+    held.write(_source(spark, sf_dir), WriteOptions(mode="upsert"))
+    gone = _source(spark, sf_dir).withColumn("_change_type", F.when(F.col("o_orderkey") % 10 == 0, "delete").otherwise("update_preimage"))
+    held.write(gone, WriteOptions(mode="upsert", transaction=MINIBATCH, deletes=True))
+    return held.read()
+
+
+@book.add("""
+    WITH t AS (SELECT o_orderkey AS a, o_orderkey * 10 AS b, o_orderstatus AS v FROM orders),
+    s AS (SELECT CASE WHEN o_orderkey % 3 = 1 THEN o_orderkey ELSE o_orderkey + 1000000000 END AS a, CASE WHEN o_orderkey % 3 = 2 THEN o_orderkey * 10 ELSE -o_orderkey END AS b, 'N' AS v FROM orders)
+    SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.a = t.a) AND NOT EXISTS (SELECT 1 FROM s WHERE s.b = t.b) UNION ALL SELECT * FROM s""")
+def upsert_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert, or on a duplicate key update: each row overwrites the one that it meets on the first key that meets any."""
+    k = F.col("o_orderkey")
+    target = _orders(spark, sf_dir).select(k.alias("a"), (k * 10).alias("b"), F.col("o_orderstatus").alias("v"))
+    source = _orders(spark, sf_dir).select(F.when(k % 3 == 1, k).otherwise(k + 1_000_000_000).alias("a"), F.when(k % 3 == 2, k * 10).otherwise(-k).alias("b"), F.lit("N").alias("v"))
+    return write.update_upsert(target, source, [("a",), ("b",)])
+
+
 @book.add(f"""
     WITH s AS (SELECT o_orderkey + 100000000 * (o_orderkey % 4) AS o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS cents, o_orderstatus FROM {_S}),
     t AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS cents, o_orderstatus FROM {_T})
@@ -241,23 +283,24 @@ def upsert_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write.partial_upsert(_target(spark, sf_dir), _source(spark, sf_dir), ("o_orderkey",), ["o_orderkey", "o_totalprice"])
 
 
-@book.add(f"SELECT * FROM {_T} WHERE o_orderkey % 2 <> 0")
+@book.add(f"SELECT * FROM {_T} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_S})")
 def delete_by_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write.delete(_target(spark, sf_dir), _source(spark, sf_dir), KEY)
 
 
 @book.add(f"""
-    SELECT * FROM {_T} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 4 = 0)
-        AND (o_custkey IS NULL OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 400 = 2))""")
+    WITH gone AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey END AS k, CASE WHEN o_orderkey % 200 <= 2 THEN o_custkey END AS c FROM orders)
+    SELECT * FROM {_T} WHERE o_orderkey NOT IN (SELECT k FROM gone WHERE k IS NOT NULL)
+        AND (o_custkey IS NULL OR o_custkey NOT IN (SELECT c FROM gone WHERE k IS NULL AND c IS NOT NULL))""")
 def delete_by_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows whose first key is null are named by the second."""
+    """Rows whose first key is null are named by the second; with both null they name none."""
     k = F.col("o_orderkey")
-    gone = _orders(spark, sf_dir).filter((k % 4 == 0) | (k % 400 == 2)).select(F.when(k % 4 == 0, k).alias("o_orderkey"), "o_custkey")
+    gone = _orders(spark, sf_dir).select(F.when(k % 4 == 0, k).alias("o_orderkey"), F.when(k % 200 <= 2, F.col("o_custkey")).alias("o_custkey"))
     return write.delete(_target(spark, sf_dir), gone, [("o_orderkey",), ("o_custkey",)])
 
 
 @book.add(f"""
-    SELECT * FROM {_T} WHERE o_orderkey % 2 <> 0 UNION ALL SELECT * FROM {_S} WHERE o_orderkey % 10 <> 0""")
+    SELECT * FROM {_T} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_S}) UNION ALL SELECT * FROM {_S} WHERE o_orderkey % 10 <> 0""")
 def write_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A changelog with upserts and deletes on the target."""
     kind = F.when(F.col("o_orderkey") % 10 == 0, "delete").otherwise("update_postimage").alias("_change_type")
@@ -303,3 +346,12 @@ def typed_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     out = PART.conform(rows)
     return out.select(F.col("p_partkey").cast("string").alias("p_partkey"), "p_name", F.col("p_size").cast("int").alias("p_size"), F.col("p_retailprice").cast("string").alias("price"))
+
+
+@book.add("SELECT p_partkey, (p_partkey + 1)::VARCHAR || repeat('0', 30) AS whole, (p_partkey + 1)::VARCHAR || repeat('0', 30) || '.00' AS cents FROM part")
+def typed_wide_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals of more than 20 digits before the point."""
+    wide = TableDef.of("wide", {"p_partkey": "bigint", "whole": "decimal(38,0)", "cents": "decimal(38,2)"})
+    text = F.concat((F.col("p_partkey") + 1).cast("string"), F.repeat(F.lit("0"), F.lit(30)))
+    out = wide.conform(table(spark, sf_dir, "part").select("p_partkey", text.cast("decimal(38,0)").alias("whole"), text.alias("cents")))
+    return out.select("p_partkey", F.col("whole").cast("string").alias("whole"), F.col("cents").cast("string").alias("cents"))

@@ -16,7 +16,7 @@ import json
 import struct
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +31,19 @@ ORDINAL_CODES = {16, 0xF7, 0xF8}
 FLOAT_CODES = {4, 5}
 BYTES_CODES = {15, 0xF9, 0xFA, 0xFB, 0xFC, 0xFD, 0xFE}
 #: Bits of a column's flags.
-UNSIGNED = 1 << 7
+BINARY, UNSIGNED = 1, 1 << 7
 OLD, NEW = 2, 1
+#: What a DDL event's number says.
+DDL_KINDS = {
+    1: "create schema", 2: "drop schema", 3: "create table", 4: "drop table", 5: "add column", 6: "drop column", 7: "add index", 8: "drop index",
+    9: "add foreign key", 10: "drop foreign key", 11: "truncate table", 12: "modify column", 13: "rebase auto id", 14: "rename table", 15: "set default value",
+    16: "shard rowid", 17: "modify table comment", 18: "rename index", 19: "add table partition", 20: "drop table partition", 21: "create view",
+    22: "modify table charset and collate", 23: "truncate table partition", 24: "drop view", 25: "recover table", 26: "modify schema charset and collate",
+    27: "lock table", 28: "unlock table", 29: "repair table", 30: "set tiflash replica", 31: "update tiflash replica status", 32: "add primary key",
+    33: "drop primary key", 34: "create sequence", 35: "alter sequence", 36: "drop sequence",
+}
 
-EVENT = "schema string, table string, partition long, type_code int, commit_version long, old map<string,string>, new map<string,string>, ddl string"
+EVENT = "schema string, table string, partition long, type_code int, commit_version long, old map<string,string>, new map<string,string>, ddl string, ddl_kind string"
 
 
 def _frames(data: bytes, at: int = 0) -> Iterator[bytes]:
@@ -52,7 +61,8 @@ def _plain(column: dict) -> str | None:
     if value is None:
         return None
     if column.get("t") in TEXT_CODES:
-        return base64.b64decode(value).decode("utf-8", "replace")
+        body = base64.b64decode(value)
+        return body.hex() if column.get("f", 0) & BINARY else body.decode("utf-8", "replace")
     return value if isinstance(value, str) else json.dumps(value)
 
 
@@ -64,13 +74,13 @@ def decode_framed(key: bytes, value: bytes) -> list[dict]:
     values = list(_frames(value))
     for i, frame in enumerate(_frames(key, 8)):
         k = json.loads(frame)
-        event = {"schema": k.get("scm"), "table": k.get("tbl"), "partition": k.get("ptn", 0), "type_code": k["t"], "commit_version": k["ts"], "old": None, "new": None, "ddl": None}
+        event = {"schema": k.get("scm"), "table": k.get("tbl"), "partition": k.get("ptn", 0), "type_code": k["t"], "commit_version": k["ts"], "old": None, "new": None, "ddl": None, "ddl_kind": None}
         body = json.loads(values[i]) if i < len(values) and values[i] else {}
         side = lambda name: {c.lower(): _plain(v) for c, v in body[name].items()} if body.get(name) else None  # noqa: E731, B023
         if k["t"] == ROW:
             event["old"], event["new"] = (side("d"), None) if "d" in body else (side("p"), side("u"))
         elif k["t"] == DDL:
-            event["ddl"] = body.get("q")
+            event["ddl"], event["ddl_kind"] = body.get("q"), DDL_KINDS.get(body.get("t"))
         out.append(event)
     return out
 
@@ -128,7 +138,7 @@ def _scalar(code: int, flags: int, body: bytes | None) -> str | None:
         return str(r.unsigned())
     if code in FLOAT_CODES:
         return repr(struct.unpack("<d", body)[0])
-    return body.decode("utf-8", "replace")
+    return body.hex() if flags & BINARY and code in BYTES_CODES else body.decode("utf-8", "replace")
 
 
 def decode_compact(data: bytes) -> list[dict]:
@@ -160,10 +170,10 @@ def decode_compact(data: bytes) -> list[dict]:
     schemas, names = (r.run(n, r.signed, summed=True) for _ in range(2))
     out, at = [], values_at
     for i in range(n):
-        event = {"schema": word(schemas[i]), "table": word(names[i]), "partition": partitions[i], "type_code": kinds[i], "commit_version": stamps[i], "old": None, "new": None, "ddl": None}
+        event = {"schema": word(schemas[i]), "table": word(names[i]), "partition": partitions[i], "type_code": kinds[i], "commit_version": stamps[i], "old": None, "new": None, "ddl": None, "ddl_kind": None}
         v = _Reader(data, at)
         if kinds[i] == DDL:
-            v.unsigned()
+            event["ddl_kind"] = DDL_KINDS.get(v.unsigned())
             event["ddl"] = v.take(v.unsigned()).decode()
         elif kinds[i] == ROW:
             for group in tables[2 + i] if 2 + i < len(tables) else []:
@@ -212,7 +222,7 @@ def encode_compact(events: list[dict]) -> bytes:
                     + b"".join(_s(-1 if b is None else len(b)) for b in bodies) + b"".join(b or b"" for b in bodies)
                 )
         ddl = e.get("ddl")
-        values.append(_u(0) + _u(len(ddl.encode())) + ddl.encode() if ddl else b"".join(parts))
+        values.append(_u(e.get("ddl_number", 0)) + _u(len(ddl.encode())) + ddl.encode() if ddl else b"".join(parts))
         groups.append([len(p) for p in parts])
     keys = _steps([e["commit_version"] for e in events], _u) + b"".join(_u(e["type_code"]) for e in events)
     keys += _steps([e.get("partition", 0) for e in events], _s) + _steps(schemas, _s) + _steps(tables, _s)
@@ -226,47 +236,161 @@ def integer_body(n: int, unsigned: bool = False) -> bytes:
     return _u(n) if unsigned else _s(n)
 
 
-def decode(messages: DataFrame, codec: str = "framed", ignore_errors: bool = False, key_col: str = "key", value_col: str = "value") -> DataFrame:
-    """Events of messages, batch or streaming. With ``ignore_errors`` messages that can't be read are left out."""
+_FIELDS = [("schema", pa.string()), ("table", pa.string()), ("partition", pa.int64()), ("type_code", pa.int32()), ("commit_version", pa.int64()), ("old", pa.map_(pa.string(), pa.string())), ("new", pa.map_(pa.string(), pa.string())), ("ddl", pa.string()), ("ddl_kind", pa.string())]
+#: Messages that are decoded together.
+_TOGETHER = 200
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _decoder(codec: str, ignore_errors: bool):
+    def batch_of(events: list[dict]) -> pa.RecordBatch:
+        columns = []
+        for name, kind in _FIELDS:
+            values = [e[name] for e in events]
+            columns.append(pa.array([None if v is None else list(v.items()) for v in values] if pa.types.is_map(kind) else values, kind))
+        return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _FIELDS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for key, value in zip(batch["k"], batch["v"]):
-                try:
-                    out += decode_framed(bytes(key), bytes(value or b"")) if codec == "framed" else decode_compact(bytes(value))
-                except (ValueError, IndexError, KeyError, TypeError, struct.error):
-                    if not ignore_errors:
-                        raise
-            yield pd.DataFrame(out, columns=["schema", "table", "partition", "type_code", "commit_version", "old", "new", "ddl"])
+            keys, values = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for start in range(0, len(values), _TOGETHER):
+                out = []
+                for key, value in zip(keys[start : start + _TOGETHER], values[start : start + _TOGETHER]):
+                    try:
+                        out += decode_framed(key, value or b"") if codec == "framed" else decode_compact(value)
+                    except (ValueError, IndexError, KeyError, TypeError, struct.error):
+                        if not ignore_errors:
+                            raise
+                yield batch_of(out)
+
+    return run
 
+
+def decode(messages: DataFrame, codec: str = "framed", ignore_errors: bool = False, key_col: str = "key", value_col: str = "value") -> DataFrame:
+    """Events of messages, batch or streaming. With ``ignore_errors`` messages that can't be read are left out.
+
+    Values are text as the database shows them; those of binary columns are hexadecimal.
+    """
     if codec not in ("framed", "compact"):
         raise ValueError(f"unknown codec {codec}")
     key = F.col(key_col) if codec == "framed" else F.lit(None).cast("binary")
-    return messages.select(key.cast("binary").alias("k"), F.col(value_col).cast("binary").alias("v")).mapInPandas(run, EVENT)
+    return messages.select(key.cast("binary").alias("k"), F.col(value_col).cast("binary").alias("v")).mapInArrow(_decoder(codec, ignore_errors), EVENT)
 
 
 #: Canal's message of row images; values are text.
-CANAL = "database string, table string, type string, es long, isDdl boolean, data array<map<string,string>>, old array<map<string,string>>"
+CANAL = "database string, table string, type string, es long, isDdl boolean, data array<map<string,string>>, old array<map<string,string>>, _tidb struct<commitTs:long>"
 
 
-def decode_canal(messages: DataFrame, value_col: str = "value", ignore_errors: bool = False) -> DataFrame:
+def decode_canal(messages: DataFrame, value_col: str = "value", ignore_errors: bool = False, own_version: bool = False) -> DataFrame:
     """Canal JSON as (schema, table, commit_version, old, new), all in the JVM.
 
     Rows of INSERT, UPDATE and DELETE; other messages are skipped. An update's
     old image holds only what changed and is filled from the new one. The
-    version is the message's time in milliseconds.
+    version is the message's time in milliseconds; with ``own_version``, the
+    older form, it is the commit version that each message must carry.
     """
     mode = "PERMISSIVE" if ignore_errors else "FAILFAST"
     m = messages.select(F.from_json(F.col(value_col).cast("string"), CANAL, {"mode": mode}).alias("m")).select("m.*")
+    return _canal_rows(m, ignore_errors, own_version)
+
+
+def _canal_rows(m: DataFrame, ignore_errors: bool, own_version: bool) -> DataFrame:
+    version = F.shiftleft("es", COUNTER_BITS)
+    if own_version:
+        version = F.col("_tidb.commitTs")
+        if ignore_errors:
+            m = m.filter(version.isNotNull())
+        else:
+            version = F.coalesce(version, F.raise_error(F.lit("a message has no commit version")).cast("long"))
     lower = lambda c: F.transform_keys(c, lambda k, _: F.lower(k))
     rows = m.filter("type IN ('INSERT', 'UPDATE', 'DELETE') AND NOT coalesce(isDdl, false)").select(
-        F.lower("database").alias("schema"), F.lower("table").alias("table"), F.shiftleft("es", COUNTER_BITS).alias("commit_version"), "type", "old", F.posexplode("data").alias("i", "row")
+        F.lower("database").alias("schema"), F.lower("table").alias("table"), version.alias("commit_version"), "type", "old", F.posexplode("data").alias("i", "row")
     )
-    row, old = lower(F.col("row")), lower(F.get("old", F.col("i")))
-    filled = F.map_concat(F.map_filter(row, lambda k, _: ~F.coalesce(F.array_contains(F.map_keys(old), k), F.lit(False))), F.coalesce(old, F.expr("CAST(map() AS map<string,string>)")))
+    row, old = lower(F.col("row")), F.when(F.col("type") == "UPDATE", lower(F.get("old", F.col("i"))))
+    none = F.expr("CAST(map() AS map<string,string>)")
+    rows = rows.withColumns({"row": row, "changed": F.coalesce(old, none)})
+    # few columns change: what the old image lacks is taken from the new one
+    filled = F.map_concat(F.map_filter("row", lambda k, _: ~F.map_contains_key("changed", k)), F.col("changed"))
     return rows.select(
         "schema", "table", "commit_version",
-        F.when(F.col("type") == "DELETE", row).when(F.col("type") == "UPDATE", filled).alias("old"),
-        F.when(F.col("type") != "DELETE", row).alias("new"),
+        F.when(F.col("type") == "DELETE", F.col("row")).when(F.col("type") == "UPDATE", filled).alias("old"),
+        F.when(F.col("type") != "DELETE", F.col("row")).alias("new"),
     )
+
+
+#: Field numbers of Canal's protobuf messages, and its kinds of entries and events.
+PACKET_TYPE, PACKET_BODY, MESSAGES, BATCH_MESSAGES = 3, 5, 7, 2
+ENTRY_HEADER, ENTRY_TYPE, ENTRY_BODY, ENTRY_ROWDATA = 1, 2, 3, 2
+HEADER_TIME, HEADER_SCHEMA, HEADER_TABLE = 6, 8, 9
+CHANGE_KIND, CHANGE_DDL, CHANGE_SQL, CHANGE_ROWS = 2, 10, 11, 12
+ROW_BEFORE, ROW_AFTER = 1, 2
+COLUMN_NAME, COLUMN_UPDATED, COLUMN_NULL, COLUMN_VALUE = 3, 5, 6, 8
+EVENT_KINDS = {1: "INSERT", 2: "UPDATE", 3: "DELETE"}
+
+
+def protobuf_fields(data: bytes) -> list[tuple[int, int | bytes]]:
+    """(number, value) of a message's fields: varints as integers, the rest as bytes."""
+    r, out = _Reader(data), []
+    while r.at < len(data):
+        key = r.unsigned()
+        kind = key & 7
+        if kind == 0:
+            out.append((key >> 3, r.unsigned()))
+        elif kind == 2:
+            out.append((key >> 3, r.take(r.unsigned())))
+        elif kind in (1, 5):
+            out.append((key >> 3, r.take(8 if kind == 1 else 4)))
+        else:
+            raise ValueError(f"protobuf wire type {kind}")
+    return out
+
+
+def decode_canal_packet(data: bytes) -> list[dict]:
+    """The row changes of a Canal protobuf packet, in the shape of its JSON messages; old images hold what was updated."""
+    packet = dict(protobuf_fields(data))
+    if packet.get(PACKET_TYPE) != MESSAGES:
+        raise ValueError("the packet holds no messages")
+    out = []
+    for number, entry in protobuf_fields(packet.get(PACKET_BODY, b"")):
+        if number != BATCH_MESSAGES:
+            continue
+        held = dict(protobuf_fields(entry))
+        if held.get(ENTRY_TYPE, ENTRY_ROWDATA) != ENTRY_ROWDATA:
+            continue  # marks of transactions
+        header, fields = dict(protobuf_fields(held[ENTRY_HEADER])), protobuf_fields(held[ENTRY_BODY])
+        change = dict(fields)
+        event = {"database": header.get(HEADER_SCHEMA, b"").decode(), "table": header.get(HEADER_TABLE, b"").decode(), "es": header.get(HEADER_TIME, 0), "isDdl": bool(change.get(CHANGE_DDL, 0))}
+        event |= {"type": EVENT_KINDS.get(change.get(CHANGE_KIND, 2), "OTHER"), "data": [], "old": []}
+        for number, row in fields:
+            if number != CHANGE_ROWS:
+                continue
+            sides: dict[int, dict[str, str | None]] = {ROW_BEFORE: {}, ROW_AFTER: {}}
+            updated = set()
+            for side, column in protobuf_fields(row):
+                if side not in sides:
+                    continue
+                c = dict(protobuf_fields(column))
+                name = c[COLUMN_NAME].decode()
+                sides[side][name] = None if c.get(COLUMN_NULL) else c.get(COLUMN_VALUE, b"").decode()
+                if side == ROW_AFTER and c.get(COLUMN_UPDATED):
+                    updated.add(name)
+            event["data"].append(sides[ROW_BEFORE] if event["type"] == "DELETE" else sides[ROW_AFTER])
+            event["old"].append({k: v for k, v in sides[ROW_BEFORE].items() if k in updated} if event["type"] == "UPDATE" else None)
+        out.append(event)
+    return out
+
+
+def decode_canal_protobuf(messages: DataFrame, value_col: str = "value", ignore_errors: bool = False) -> DataFrame:
+    """Canal protobuf packets as ``decode_canal`` gives JSON messages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for value in batch.column(0).to_pylist():
+                try:
+                    out += [json.dumps(e) for e in decode_canal_packet(value)]
+                except (ValueError, IndexError, KeyError, TypeError):
+                    if not ignore_errors:
+                        raise
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+
+    return decode_canal(messages.select(F.col(value_col).cast("binary").alias("v")).mapInArrow(run, "value string"), ignore_errors=ignore_errors)

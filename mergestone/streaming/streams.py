@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from mergestone.operators.versions import COUNTER_BITS, VersionedTable
 from mergestone.operators.write import split_changes, taken_by
+from mergestone.tabledef import all_present
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -53,6 +54,45 @@ def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
     return table.read()
 
 
+def windows_to_end(stream: DataFrame, time_col: str, delay: str, aggregate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All windows of an aggregate over an event-time stream, each final when the watermark has passed it.
+
+    The query runs in append mode, so state goes with the watermark and rows
+    later than ``delay`` are dropped. Once the input has been read to its end a
+    closing row of a far time lets the last windows out; its own window never
+    comes out.
+    """
+    spark = stream.sparkSession
+    place = shared_folder(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/close")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    closing = spark.readStream.schema(stream.schema).parquet(f"{place}/close")
+    counts = aggregate(stream.unionByName(closing).withWatermark(time_col, delay))
+
+    def run() -> None:
+        writer = counts.writeStream.outputMode("append").option("checkpointLocation", f"{place}/progress").trigger(availableNow=True)
+        writer.format("parquet").option("path", f"{place}/out").start().awaitTermination()
+
+    run()
+    far = [F.lit("9000-01-01 00:00:00").cast(f.dataType).alias(f.name) if f.name == time_col else F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema]
+    spark.range(1).select(*far).write.mode("append").parquet(f"{place}/close")
+    run()
+    return spark.read.schema(counts.schema).parquet(f"{place}/out")
+
+
+def dedup_within(stream: DataFrame, keys: Sequence[Sequence[str]], time_col: str, ttl: str) -> DataFrame:
+    """Of rows that share a key within ``ttl`` the first to come, one key after the other; a key with a null is none's equal.
+
+    State is kept for the time to live only.
+    """
+    out = stream.withWatermark(time_col, ttl)
+    for key in keys:
+        # a null part gets a value of its own for each row, so such rows never meet
+        apart = F.when(~all_present(tuple(key)), F.uuid())
+        out = out.withColumn("_apart", apart).dropDuplicatesWithinWatermark([*key, "_apart"]).drop("_apart")
+    return out
+
+
 def each(writer, f: Callable[[DataFrame, int], None]):
     return writer.foreachBatch(f).start()
 

@@ -35,3 +35,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = registry.QUERIES["scan_filter_project_limit"](spark, FOLDER)._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), IsNotNull(l_quantity)" in plan and "l_comment" not in plan
     assert "l_tax" not in plan.split("ReadSchema")[-1]
+
+
+@pytest.mark.parametrize(("name", "parts"), [("part_prune_range", "0,1"), ("part_prune_year", "1,2"), ("part_prune_hash", "0"), ("part_select_named", "1,2")])
+def test_pruned_queries_read_only_their_folders(spark, name, parts):
+    plan = registry.QUERIES[name](spark, FOLDER)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan or "PartitionFilters: [_part" in plan
+    found = plan.split("PartitionFilters:")[-1].split("PushedFilters")[0]
+    assert all(p in found for p in parts.split(",")) and not any(p in found.replace("_part#", "") and f" {p}" in found for p in "3")
