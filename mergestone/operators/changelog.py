@@ -68,7 +68,7 @@ def _value(text: Column, c: ColumnDef) -> Column:
     if kind == "enum" and names:
         return F.when(number.isNull(), text).otherwise(F.get(F.array(*names), (number - 1).cast("int")))
     if kind == "set" and names:
-        picked = F.filter(F.transform(F.array(*names), lambda v, i: F.when(F.shiftright(number, i).bitwiseAND(F.lit(1)) == 1, v)), lambda v: v.isNotNull())
+        picked = F.array_compact(F.array(*[F.when(F.shiftright(number, i).bitwiseAND(F.lit(1)) == 1, v) for i, v in enumerate(names)]))
         return F.when(number.isNull(), text).otherwise(F.array_join(picked, ","))
     if kind == "bit" and isinstance(wanted, T.BooleanType):
         return number == 1
