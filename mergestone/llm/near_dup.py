@@ -398,3 +398,22 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
     once = left.join(repeated, id_col, "left_semi").groupBy(id_col).agg(F.min_by(row, F.struct(text_col, F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns]))).alias("_row")).select("_row.*")
     return left.join(repeated, id_col, "left_anti").select(*documents.columns).unionByName(once)
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 1], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+sized AS (SELECT doc_id, s, n FROM shingles JOIN sizes USING (doc_id)),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS total, count(*) AS c FROM sized a JOIN sized b
+    ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+links AS (SELECT x, y FROM shared WHERE 100 * c >= 80 * (total - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT x AS doc_id, y AS other FROM edges UNION SELECT reach.doc_id, edges.y FROM reach JOIN edges ON edges.x = reach.other),
+least_of AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, least(doc_id, coalesce(m, doc_id)) = doc_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""

@@ -72,4 +72,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_topk": topk.ORACLE_SQL,
     "op2_revisits": warc.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
+    "op5_near_duplicates": near_dup.ORACLE_SQL,
 }

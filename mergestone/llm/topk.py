@@ -1,14 +1,18 @@
 """Exact top-k search by integer inner product: a dual-tree search over cover trees.
 
-Queries and data are cut into blocks, dealt by a hash of the row, and each
-pair of blocks is one group: a stated set of queries against all rows. In a
-group both sides get a cover tree. A node of level l covers its points within
-2^l. Its children are centres chosen farthest first until they cover within
-2^(l-1): they are at least that far apart (separation), every point is within
-it of its centre (covering), and the node's own centre is the first of them
-(nesting). Where that would take more than ``FAN`` centres, as in many
-dimensions, the level falls by as much as ``FAN`` cover. The search descends both trees together, best bound
-first, and leaves a pair of nodes when
+Vectors are dealt to cells, each around a pivot, and cells are cut into blocks
+of bounded size. Each block of queries first searches the one block of data
+that its bound favours, which gives every query a kth score; of all other pairs
+of blocks only those are searched, and vectors sent to them, whose bound
+reaches the worst of these. A pair of blocks is one group: a stated set of
+queries against all rows. In a group both sides get a cover tree. A node of
+level l covers its points within 2^l. Its children are centres chosen farthest
+first until they cover within 2^(l-1): they are at least that far apart
+(separation), every point is within it of its centre (covering), and the node's
+own centre is the first of them (nesting). Where that would take more than
+``FAN`` centres, as in many dimensions, the level falls by as much as ``FAN``
+cover. The search descends both trees together, best bound first, and leaves a
+pair of nodes, as of blocks, when
 
     <q, p> + rq |p| + rp |q| + rq rp  <  the worst kth score of the node's queries,
 
@@ -20,21 +24,94 @@ meet in one more ranking.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergestone.llm.scratch import Scratch
+from mergestone.llm.worker import tidy
 
 FAN, LEAF = 16, 96
 QUERY_BLOCK, DATA_BLOCK = 4096, 16384
+#: Cells of vectors of one length at most, and vectors at most of which their pivots are chosen; neither changes results.
+MOST_CELLS, SAMPLE = 64, 4096
 _EXACT = float(1 << 53)
 _LONG = (1 << 63) - 1
 
 
+def _pivots(vectors: list[list[float]], most: int, scale: int) -> dict[int, np.ndarray]:
+    """Of each length's vectors up to ``most`` of them, chosen farthest first."""
+    by_length: dict[int, list[list[float]]] = {}
+    for v in vectors:
+        by_length.setdefault(len(v), []).append(v)
+    out = {}
+    with np.errstate(all="ignore"):
+        for length, own in by_length.items():
+            points = np.floor(np.array(own, np.float64).reshape(len(own), length) * scale)
+            rows = np.arange(len(points))
+            chosen, nearest = [0], _distances(points, rows, 0)
+            while len(chosen) < most and nearest.max() > 0:
+                chosen.append(int(nearest.argmax()))
+                nearest = np.minimum(nearest, _distances(points, rows, chosen[-1]))
+            out[length] = points[chosen]
+    return out
+
+
+def _place(pivots, scale: int):
+    """Adds to vectors their length, their nearest pivot's number and the distance; lengths without pivots have one cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int32)
+            flat, starts = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
+            cells, away = np.zeros(len(sizes), np.int32), np.full(len(sizes), np.inf)
+            with np.errstate(all="ignore"):
+                for length in np.unique(sizes).tolist():
+                    centres = pivots.value.get(length)
+                    if centres is None:
+                        continue
+                    own = np.flatnonzero(sizes == length)
+                    points = np.floor(flat[(starts[own][:, None] + np.arange(length)).ravel()].reshape(len(own), length) * scale)
+                    far = np.stack([np.sqrt(((points - c) ** 2).sum(axis=1)) for c in centres], axis=1)
+                    far[np.isnan(far)] = np.inf
+                    cells[own], away[own] = far.argmin(axis=1), far.min(axis=1)
+            columns = [*batch.columns, pa.array(sizes), pa.array(cells), pa.array(away)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "vec_id", "v", "dim", "cell", "away"])
+
+    return run
+
+
+def _bounds(pivots: dict[int, np.ndarray], stats: list) -> list[tuple[int, int, int, float, int]]:
+    """(dim, cell of queries, cell of data, what no pair's score exceeds, the cell's place among the highest of these)."""
+    out = []
+    by_length: dict[int, list] = {}
+    for r in stats:
+        by_length.setdefault(r["dim"], []).append(r)
+    with np.errstate(all="ignore"):
+        for length, cells in by_length.items():
+            centres = pivots[length]
+            norms = np.sqrt((centres * centres).sum(axis=1))
+            for q in cells:
+                if not q["nq"]:
+                    continue
+                found = []
+                for p in cells:
+                    near = float(centres[q["cell"]] @ centres[p["cell"]])
+                    top = near + q["q_radius"] * norms[p["cell"]] + p["radius"] * norms[q["cell"]] + q["q_radius"] * p["radius"]
+                    top += 1e-9 * (abs(top) + norms[q["cell"]] * norms[p["cell"]] + 1)  # rounding may not prune
+                    found.append((float("inf") if np.isnan(top) else float(top), p["cell"]))
+                found.sort(key=lambda x: (-x[0], x[1]))
+                out += [(length, q["cell"], cell, top, i + 1) for i, (top, cell) in enumerate(found)]
+    return out
+
+
 class Node:
     """A node of the cover tree: its centre, the rows it covers within ``radius``, and the level; leaves have no children."""
 
@@ -195,15 +272,45 @@ def top_k(
     )
     finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))  # not a number counts as greater
     held = scratch.save("vectors", raw.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite))
+    sampled = held.select("row", "v").orderBy(F.xxhash64("row"), "row").limit(SAMPLE).collect()
+    n = held.count()
+    pivots = _pivots([r["v"] for r in sampled], min(MOST_CELLS, max(1, -(-n // data_block))), scale)
+    shared = spark.sparkContext.broadcast(pivots)  # SAMPLE vectors at most
+    kind = "row long, vec_id long, v array<double>, dim int, cell int, away double"
+    placed = scratch.save("placed", held.mapInArrow(tidy(_place(shared, scale)), kind))
     is_query = F.col("vec_id") % every == 0
-    n = held.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
-    q_blocks, d_blocks = max(1, -(-n["q"] // query_block)), max(1, -(-n["n"] // data_block))
-    dim, cut = F.size("v").alias("dim"), lambda blocks: F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
-    spread = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    queries = held.filter(is_query).select("row", "vec_id", "v", dim, F.lit(True).alias("query"), cut(q_blocks).alias("qb"), spread(d_blocks).alias("db"))
-    data = held.select("row", "vec_id", "v", dim, F.lit(False).alias("query"), cut(d_blocks).alias("db"), spread(q_blocks).alias("qb"))
-    both = queries.unionByName(data)
-    best = both.groupBy("dim", "qb", "db").applyInPandas(_group(k, scale), "row long, query_id long, vec_id long, score long, place string")
+    stats = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("away").alias("radius"), F.count(F.when(is_query, 1)).alias("nq"), F.max(F.when(is_query, F.col("away"))).alias("q_radius"))
+    stats = scratch.save("stats", stats)
+    # (dim, qcell, dcell, top, nth): bounds of all pairs of a length's cells, MOST_CELLS squared at most for each sampled length
+    tops = spark.createDataFrame(_bounds(pivots, stats.filter(F.col("dim").isin(list(pivots))).collect()), "dim int, qcell int, dcell int, top double, nth int")
+    rest = stats.filter(~F.col("dim").isin(list(pivots))).select("dim", F.lit(0).alias("qcell"), F.lit(0).alias("dcell"), F.lit(float("inf")).alias("top"), F.lit(1).alias("nth"))
+    tops = scratch.save("tops", tops.unionByName(rest))
+    cut = lambda count, size: F.greatest(F.lit(1), F.ceil(F.col(count) / F.lit(size))).cast("int")
+    sub = lambda parts: F.pmod(F.xxhash64("row"), F.col(parts)).cast("int")
+    parts = stats.select("dim", "cell", cut("n", data_block).alias("parts"), cut("nq", query_block).alias("q_parts"))
+    blocked = scratch.save("blocked", placed.drop("away").join(parts, ["dim", "cell"]).withColumns({"dsub": sub("parts"), "qsub": sub("q_parts")}).drop("parts", "q_parts"))
+    queries = blocked.filter(is_query).select("row", "vec_id", "v", "dim", F.col("cell").alias("qcell"), "qsub")
+    data = blocked.select("row", "vec_id", "v", "dim", F.col("cell").alias("dcell"), "dsub")
+    subs = parts.select("dim", F.col("cell").alias("dcell"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("dsub"))
+    groups = queries.select("dim", "qcell", "qsub").distinct()
+    result = "row long, query_id long, vec_id long, score long, place string"
+
+    def searched(pairs: DataFrame, name: str) -> DataFrame:
+        """The k best of each query in each of the pairs (dim, qcell, qsub, dcell, dsub)."""
+        pairs = scratch.save(f"{name}-pairs", pairs)
+        key = ["dim", "qcell", "qsub", "dcell", "dsub"]
+        asked = queries.join(pairs, ["dim", "qcell", "qsub"]).select("row", "vec_id", "v", F.lit(True).alias("query"), *key)
+        given = data.join(pairs, ["dim", "dcell", "dsub"]).select("row", "vec_id", "v", F.lit(False).alias("query"), *key)
+        return scratch.save(name, asked.unionByName(given).groupBy(*key).applyInPandas(_group(k, scale), result))
+
+    favoured = tops.filter("nth = 1").select("dim", "qcell", "dcell", F.lit(0).alias("dsub"))
+    first = searched(groups.join(favoured, ["dim", "qcell"]), "first")
+    # a query with fewer than k, or whose kth score is below the range of a long, has no kth score yet
+    kth = first.groupBy("row").agg(F.count("*").alias("n"), F.min("score").alias("s")).select("row", F.when((F.col("n") == k) & (F.col("s") > -_LONG - 1), F.col("s").cast("double")).alias("s"))
+    worst = queries.select("row", "dim", "qcell", "qsub").join(kth, "row", "left").groupBy("dim", "qcell", "qsub").agg(F.min("s").alias("worst"), F.count("*").alias("asked"), F.count("s").alias("known"))
+    every_pair = worst.join(tops, ["dim", "qcell"]).filter("known < asked OR NOT (top < worst)").join(subs, ["dim", "dcell"])
+    more = every_pair.select("dim", "qcell", "qsub", "dcell", "dsub", "nth").filter("NOT (nth = 1 AND dsub = 0)").drop("nth")
+    best = first.unionByName(searched(more, "more"))
     order = Window.partitionBy("row").orderBy(F.desc("place"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
