@@ -15,6 +15,7 @@ difference.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -35,6 +36,10 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Fixed value: what an unknown piece is decoded as.
 UNKNOWN_SHOWN = " \u2047 "
+#: Threads of the library in a worker, unless RAYON_NUM_THREADS says otherwise; an executor has a worker for each core.
+THREADS = 2
+#: Parts that the library encodes in one batch.
+TOGETHER = 2000
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Texts that try white space, markers, bytes, scripts and marks.
 PROBES = (
@@ -153,6 +158,7 @@ class Pieces:
     """
 
     def __init__(self, data: bytes, most_parts: int = 50_000, longest_part: int = 100) -> None:
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))  # read when the library first needs its threads
         self.model = Model(data)
         self.tokenizer = build(self.model)
         self.normalizer = self.tokenizer.normalizer
@@ -192,8 +198,8 @@ class Pieces:
             else:
                 fresh.append(p)
         one = self.ids.__getitem__
-        for start in range(0, len(fresh), 20_000):
-            some = fresh[start : start + 20_000]
+        for start in range(0, len(fresh), TOGETHER):
+            some = fresh[start : start + TOGETHER]
             found = self.tokenizer.encode_batch_fast([MARK + p if self.plain and p[:1] != MARK else p for p in some], add_special_tokens=False)
             known.update(zip(some, (tuple(map(one, x.ids)) for x in found)))
         out = [list(chain.from_iterable(map(known.__getitem__, parts))) for parts in split]
