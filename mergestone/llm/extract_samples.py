@@ -23,8 +23,8 @@ LAYOUTS = [
     "<body><div class='popup' role='dialog'><p>{b8}</p><button>{b2}</button></div><div class='post'><div class='post-header'><h1>{h}</h1></div><div class='post-body'><p>{p0}</p><blockquote><p>{p1}</p></blockquote><dl><dt>{p5}</dt><dd>{p2}</dd></dl></div><div class='share'><a>{b0}</a><a>{b1}</a></div></div><div id='disqus'><p>{b7}</p></div></body>",
     "<body><table><tr><td><a>{b0}</a></td><td><a>{b1}</a></td></tr></table><div class='story'><h1>{h}</h1><table><tr><th>{p5}</th></tr><tr><td>{p0}</td><td>{p4}</td></tr></table><p>{p1}</p></div><div class='copyright'>{b9}</div></body>",
     "<body><aside role='complementary'><p>{b8}</p><p>{b6}</p></aside><article><p>{p0}</p><div><p>{p1}</p><div><p>{p2}</p></div></div><p>{p4}</p><figure><img><figcaption>{p5}</figcaption></figure></article><section id='responses'><p>{b7}</p><form><textarea>{b2}</textarea></form></section></body>",
-    "<body><div role='navigation'><a>{b0}</a><a>{b1}</a><a>{b3}</a></div><div role='main'><h1>{h}</h1>{p0}<br>{p1}<p>{p2}</p><ul><li>{p3}</li></ul></div><div role='contentinfo'><p>{b9}</p></div></body>",
-    "<body><header class='masthead'><h1>{b1}</h1><p>{b8}</p></header><article class='entry'><h2>{h}</h2><p>{p0} <a>{p5}</a></p><p class='sponsored'>{b6}</p><p>{p1}</p></article><div class='pagination'><a>{b0}</a> <a>{b2}</a></div><div class='gdpr'>{b9}</div></body>",
+    "<body><div role='navigation'><a>{b0}</a><a>{b1}</a><a>{b3}</a></div><div role='main'><h1>{h}</h1><div>{p0}</div><div>{p1}</div><p>{p2}</p><ul><li>{p3}</li></ul></div><div role='contentinfo'><p>{b9}</p></div></body>",
+    "<body><header class='masthead'><h1>{b1}</h1><p>{b8}</p></header><article class='entry'><h2>{h}</h2><p>{p0}</p><p>{p5}</p><p class='sponsored'>{b6}</p><p>{p1}</p></article><div class='pagination'><a>{b0}</a> <a>{b2}</a></div><div class='gdpr'>{b9}</div></body>",
     "<body><h1>{h}</h1><p>{p0}</p><p>{p1}</p><h2>{p5}</h2><p>{p2}</p><p>{p4}</p><div class='signup'><p>{b8}</p></div><nav>{b0} {b1}</nav><footer>{b9}</footer></body>",
 ]
 

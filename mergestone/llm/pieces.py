@@ -17,8 +17,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -141,7 +141,7 @@ def build(model: Model) -> tokenizers.Tokenizer:
     # no piece has a marker after another character, so none can cross the start of a run of markers; short parts are cached
     if not any(MARK in piece.lstrip(MARK) for piece, _, kind in model.pieces if kind in (NORMAL, USER)):
         out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
+    out.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
     user = [piece for piece, _, kind in model.pieces if kind == USER]
     if user:
         out.add_tokens([tokenizers.AddedToken(p, normalized=False) for p in user])
@@ -167,9 +167,8 @@ class Pieces:
         if self.by_parts:  # texts are normalised and split before they come to the library
             self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
         self.plain = self.by_parts and self.model.dummy_prefix and not self.model.charsmap and not self.model.fold_spaces
-        self.known: dict[str, tuple[int, ...]] = {}  # parts met lately
-        self.earlier: dict[str, tuple[int, ...]] = {}  # the table before it, until this one is full
-        self.ids = list(range(len(pieces)))  # one object for each id, whatever number of parts has it
+        self.known: dict[str, bytes] = {}  # ids of parts met lately
+        self.earlier: dict[str, bytes] = {}  # the table before it, until this one is full
         self.most_parts, self.longest_part = most_parts, longest_part
         self.control = frozenset(i for i, (*_, kind) in enumerate(pieces) if kind == CONTROL)
         self.marked = frozenset(i for i, (piece, _, kind) in enumerate(pieces) if piece[:1] == MARK and kind in (NORMAL, USER))
@@ -184,10 +183,15 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Piece ids of each text; an empty text has none. The library encodes batches on its threads."""
+        return [np.frombuffer(x, "<i4").tolist() for x in self.encode_bytes(texts)]
+
+    def encode_bytes(self, texts: list[str]) -> list[bytes]:
+        """``encode`` with each text's ids as little-endian 32-bit integers."""
+        packed = lambda x: array("i", x.ids).tobytes()
         blank = (lambda t: not t.strip(" ")) if self.model.fold_spaces else (lambda t: not t)
         if not self.by_parts:
-            found = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            return [[] if blank(t) else ids for t, ids in zip(texts, found)]
+            found = map(packed, self.tokenizer.encode_batch(texts, add_special_tokens=False))
+            return [b"" if blank(t) else ids for t, ids in zip(texts, found)]
         split = [[] if blank(t) else self._parts(t) for t in texts]
         if len(self.known) > self.most_parts:
             self.known, self.earlier = {}, self.known
@@ -197,12 +201,11 @@ class Pieces:
                 known[p] = self.earlier[p]
             else:
                 fresh.append(p)
-        one = self.ids.__getitem__
         for start in range(0, len(fresh), TOGETHER):
             some = fresh[start : start + TOGETHER]
             found = self.tokenizer.encode_batch_fast([MARK + p if self.plain and p[:1] != MARK else p for p in some], add_special_tokens=False)
-            known.update(zip(some, (tuple(map(one, x.ids)) for x in found)))
-        out = [list(chain.from_iterable(map(known.__getitem__, parts))) for parts in split]
+            known.update(zip(some, map(packed, found)))
+        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
         for p in fresh:
             if len(p) > self.longest_part:
                 del known[p]
@@ -226,9 +229,12 @@ class Pieces:
         """
         out = []
         for one, text in zip(ids, self.tokenizer.decode_batch(ids, skip_special_tokens=False)):
-            if not self.odd.isdisjoint(one) or "\ufffd" in text and any(i in self.byte_of for i in one):
+            first = one[0] if one else None
+            if not self.odd.isdisjoint(one) or "\ufffd" in text and not self.byte_of.keys().isdisjoint(one):
                 text = self._loose(one)
-            first = next((i for i in one if i not in self.control), None)
+                first = next((i for i in one if i not in self.control), None)
+            elif MARK in text:  # markers are put together in the library, and are spaces to whoever reads them
+                text = text.replace(MARK, " ")
             out.append(text[1:] if self.model.dummy_prefix and first in self.marked else text)
         return out
 
@@ -293,10 +299,11 @@ def _encode(model):
         for batch in batches:
             for start, end in _rows(batch):
                 part = batch.slice(start, end - start)
-                texts = part.column(1).to_pylist()
-                ids = pieces.encode([t or "" for t in texts])
-                ids = [None if t is None else x for t, x in zip(texts, ids)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["id", "text", "ids"])
+                ids = pieces.encode_bytes([t or "" for t in part.column(1).to_pylist()])
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
+                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=part.column(1).is_null())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "text", "ids"])
 
     return run
 
@@ -355,11 +362,12 @@ def _digest(model):
             for start, end in _rows(batch):
                 part = batch.slice(start, end - start)
                 texts = part.column(1).to_pylist()
-                ids = pieces.encode([t or "" for t in texts])
-                same = [t is None or t == back for t, back in zip(texts, pieces.decode(ids))]
-                hashes = [hashlib.sha256(np.array(x, "<i4").tobytes()).hexdigest() for x in ids]
+                ids = pieces.encode_bytes([t or "" for t in texts])
+                back = pieces.decode([np.frombuffer(x, "<i4").tolist() for x in ids])
+                same = [t is None or t == b for t, b in zip(texts, back)]
+                hashes = [hashlib.sha256(x).hexdigest() for x in ids]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array(hashes), pa.array(same)],
+                    [part.column(0).cast(pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(hashes), pa.array(same)],
                     names=["doc_id", "n_pieces", "ids_sha256", "round_trip"],
                 )
 
