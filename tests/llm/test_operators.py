@@ -713,3 +713,77 @@ def test_pieces_without_text(spark):
         lists = [[rng.choice([rng.randrange(n), rng.randrange(3), rng.randrange(3, 259)]) for _ in range(rng.randrange(8))] for _ in range(3000)]
         lists = [x for x in lists if not own.model.fold_spaces or not x or x[0] not in own.marked]
         assert [a for a, b in zip(lists, own.decode(lists)) if b != other.decode(a)] == []
+
+
+# --- queries against plain versions
+
+
+def plain_words(t):
+    import re
+
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the test tables are not here")
+def test_toxicity_query_against_a_plain_chain(spark):
+    import math
+
+    import xxhash
+
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in llm_queries.op3_toxicity(spark, FOLDER).collect():
+        own = set()
+        for w in map(str.encode, set(plain_words(texts[r["doc_id"]]))):
+            own |= {xxhash.xxh3_64_intdigest(p) >> 44 for p in [w, *(b"^" + w[:n] for n in (4, 5, 6) if len(w) > n)]}
+        p = []
+        for link in model.links:
+            x = [float(int(f) in own) for f in link.chosen] + p + [1.0]
+            p.append(1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, link.weights)))))))
+        assert np.allclose(p, [r[f"p_{x.name}"] for x in model.links], atol=1e-9) and r["toxic"] == (p[-1] >= model.threshold)
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the test tables are not here")
+def test_quality_query_against_a_plain_scorer(spark):
+    import math
+    from itertools import groupby
+
+    import xxhash
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = quality.train(docs)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    seen = Counter(quality.votes((t or "").encode()) for t in texts.values())
+    again = quality.estimate(np.array(sorted(seen)), np.array([seen[k] for k in sorted(seen)], float))
+    assert np.allclose(again.share, model.votes.share) and np.allclose(again.caught, model.votes.caught)
+
+    def shape(w):
+        if w.strip(b".,;:!?").lower() in quality.FUNCTION_WORDS and not w.isupper():
+            return b"="
+        kind = lambda b: "a" if 97 <= b <= 122 or b >= 128 else "A" if 65 <= b <= 90 else "0" if 48 <= b <= 57 else chr(b)
+        return "".join(k for k, _ in groupby(map(kind, w))).encode()
+
+    for r in llm_queries.op10_quality(spark, FOLDER).collect():
+        words = (texts[r["doc_id"]] or "").encode().split()
+        z = float(model.weights[-1])
+        for place, n in Counter(xxhash.xxh3_64_intdigest(shape(w)) >> 52 for w in words).items():
+            z += model.weights[place] * math.sqrt(n / len(words))
+        if len(words) > 2:
+            z += model.weights[-2] * (1 - len(set(zip(words, words[1:], words[2:]))) / (len(words) - 2))
+        assert abs(r["score"] - 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))) < 1e-9 and r["good"] == (r["score"] >= 0.5)
+
+
+def test_classes_of_bad_documents_do_not_clear_each_other():
+    """Two kinds of junk, each seen by three heuristics of its own (two would leave it open), the first nine times as frequent."""
+    rng = np.random.default_rng(1)
+    kind = rng.choice(3, 30_000, p=[0.7, 0.27, 0.03])
+    rate = np.array([[0.02] * 6, [0.95] * 3 + [0.02] * 3, [0.02] * 3 + [0.95] * 3])
+    said = np.where(rng.random((len(kind), 6)) < rate[kind], quality.BAD, quality.GOOD)
+    seen = Counter(map(tuple, said.tolist()))
+    patterns = np.array(sorted(seen))
+    model = quality.estimate(patterns, np.array([seen[tuple(p)] for p in patterns.tolist()], float))
+    good = dict(zip(map(tuple, patterns.tolist()), model.posterior(patterns) >= 0.5))
+    found = np.array([good[tuple(s)] for s in said.tolist()])
+    assert abs(model.prior - 0.7) < 0.02 and (found == (kind == 0)).mean() > 0.99 and not found[kind == 2].mean() > 0.1
