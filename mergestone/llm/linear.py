@@ -3,6 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+
+
+def unpacked(column: pa.ChunkedArray, order: np.ndarray) -> list[np.ndarray]:
+    """The lists of a column, in an order of its rows."""
+    lists = column.combine_chunks()
+    ends, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    return [values[ends[i] : ends[i + 1]] for i in order.tolist()]
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mergestone.llm.linear import sigmoid
+from mergestone.llm.linear import sigmoid, unpacked
 from mergestone.llm.scratch import modest_batches
 from mergestone.llm.worker import tidy
 
@@ -305,9 +305,11 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     held = docs.filter("id IS NOT NULL AND text IS NOT NULL")
     chosen = held.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = held.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"))  # ``sample`` ids at most
-    taken = sorted(texts.mapInArrow(tidy(_sampled), "id long, pattern string, places array<long>, values array<double>").collect(), key=lambda r: r["id"])
-    shapes = [(np.array(r["places"], np.int64), np.array(r["values"], np.float64)) for r in taken]
-    return Scorer(model, fit_rows(shapes, model.posterior(as_votes([r["pattern"] for r in taken]))))
+    taken = texts.mapInArrow(tidy(_sampled), "id long, pattern string, places array<long>, values array<double>").toArrow()
+    order = np.argsort(taken["id"].to_numpy(), kind="stable")
+    shapes = list(zip(unpacked(taken["places"], order), unpacked(taken["values"], order)))
+    patterns = taken["pattern"].to_pylist()
+    return Scorer(model, fit_rows(shapes, model.posterior(as_votes([patterns[i] for i in order.tolist()]))))
 
 
 def _score(model):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mergestone.llm.linear import apply_logistic, fit_logistic
+from mergestone.llm.linear import apply_logistic, fit_logistic, unpacked
 from mergestone.llm.scratch import modest_batches
 from mergestone.llm.words import alnum_words
 from mergestone.llm.worker import tidy
@@ -239,10 +239,12 @@ def train(
         names = CATEGORIES
         marked = own.select("id", "text", *[c.alias(f"c_{k}") for k, c in weak_categories(F.col("y") == 1, F.col("text")).items()])
     kind = "id long, " + ", ".join(f"c_{k} int" for k in names) + ", features array<int>"
-    rows = sorted(marked.mapInArrow(tidy(_sampled), kind).collect(), key=lambda r: r["id"])
-    folds = np.array([xxhash.xxh3_64_intdigest(str(r["id"]).encode()) % FOLDS for r in rows], np.int64)
-    y = np.array([[r[f"c_{k}"] for k in names] for r in rows], np.float64).reshape(len(rows), len(names))
-    return fit_features([np.array(r["features"], np.int64) for r in rows], y, folds, names)
+    found = marked.mapInArrow(tidy(_sampled), kind).toArrow()  # numbers stay packed, rows of Python objects would take many times as much
+    order = np.argsort(found["id"].to_numpy(), kind="stable")
+    ids = found["id"].to_numpy()[order]
+    folds = np.array([xxhash.xxh3_64_intdigest(str(i).encode()) % FOLDS for i in ids.tolist()], np.int64)
+    y = np.stack([found[f"c_{k}"].to_numpy()[order].astype(np.float64) for k in names], axis=1)
+    return fit_features(unpacked(found["features"], order), y, folds, names)
 
 
 def _score(model):
