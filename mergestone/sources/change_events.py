@@ -39,7 +39,7 @@ DDL_KINDS = {
     9: "add foreign key", 10: "drop foreign key", 11: "truncate table", 12: "modify column", 13: "rebase auto id", 14: "rename table", 15: "set default value",
     16: "shard rowid", 17: "modify table comment", 18: "rename index", 19: "add table partition", 20: "drop table partition", 21: "create view",
     22: "modify table charset and collate", 23: "truncate table partition", 24: "drop view", 25: "recover table", 26: "modify schema charset and collate",
-    27: "lock table", 28: "unlock table", 29: "repair table", 30: "set tiflash replica", 31: "update tiflash replica status", 32: "add primary key",
+    27: "lock table", 28: "unlock table", 29: "repair table", 30: "set columnar replica", 31: "update columnar replica status", 32: "add primary key",
     33: "drop primary key", 34: "create sequence", 35: "alter sequence", 36: "drop sequence",
 }
 
@@ -277,26 +277,24 @@ def decode(messages: DataFrame, codec: str = "framed", ignore_errors: bool = Fal
 
 
 #: Canal's message of row images; values are text.
-CANAL = "database string, table string, type string, es long, isDdl boolean, data array<map<string,string>>, old array<map<string,string>>, _tidb struct<commitTs:long>"
+CANAL = "database string, table string, type string, es long, isDdl boolean, data array<map<string,string>>, old array<map<string,string>>"
 
 
-def decode_canal(messages: DataFrame, value_col: str = "value", ignore_errors: bool = False, own_version: bool = False) -> DataFrame:
+def decode_canal(messages: DataFrame, value_col: str = "value", ignore_errors: bool = False, own_version: str | None = None) -> DataFrame:
     """Canal JSON as (schema, table, commit_version, old, new), all in the JVM.
 
     Rows of INSERT, UPDATE and DELETE; other messages are skipped. An update's
     old image holds only what changed and is filled from the new one. The
-    version is the message's time in milliseconds; with ``own_version``, the
-    older form, it is the commit version that each message must carry.
+    version is the message's time in milliseconds; ``own_version`` names, as in
+    ``extension.commitTs``, where each message of the older form must carry it.
     """
     mode = "PERMISSIVE" if ignore_errors else "FAILFAST"
-    m = messages.select(F.from_json(F.col(value_col).cast("string"), CANAL, {"mode": mode}).alias("m")).select("m.*")
-    return _canal_rows(m, ignore_errors, own_version)
-
-
-def _canal_rows(m: DataFrame, ignore_errors: bool, own_version: bool) -> DataFrame:
+    text = F.col(value_col).cast("string")
+    held = F.get_json_object(text, f"$.{own_version}").cast("long") if own_version else F.lit(None).cast("long")
+    m = messages.select(F.from_json(text, CANAL, {"mode": mode}).alias("m"), held.alias("held")).select("m.*", "held")
     version = F.shiftleft("es", COUNTER_BITS)
     if own_version:
-        version = F.col("_tidb.commitTs")
+        version = F.col("held")
         if ignore_errors:
             m = m.filter(version.isNotNull())
         else:

@@ -104,11 +104,11 @@ def test_canal_packets(spark):
 
 
 def test_canal_with_versions_of_its_own(spark):
-    one = '{"database":"s","table":"t","type":"INSERT","es":3,"isDdl":false,"data":[{"A":"1"}],"old":null,"_tidb":{"commitTs":77}}'
-    frame = spark.createDataFrame([(one,), (one.replace(',"_tidb":{"commitTs":77}', ""),)], "value string")
-    assert [r["commit_version"] for r in C.decode_canal(frame, own_version=True, ignore_errors=True).collect()] == [77]
+    one = '{"database":"s","table":"t","type":"INSERT","es":3,"isDdl":false,"data":[{"A":"1"}],"old":null,"_ext":{"commitTs":77}}'
+    frame = spark.createDataFrame([(one,), (one.replace(',"_ext":{"commitTs":77}', ""),)], "value string")
+    assert [r["commit_version"] for r in C.decode_canal(frame, own_version="_ext.commitTs", ignore_errors=True).collect()] == [77]
     with pytest.raises(Exception, match="commit version"):
-        C.decode_canal(frame, own_version=True).collect()
+        C.decode_canal(frame, own_version="_ext.commitTs").collect()
 
 
 def test_values_carried_along_a_hot_key(spark):
