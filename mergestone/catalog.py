@@ -110,7 +110,7 @@ class Catalog:
         return self.database_exists(database) and table.lower() in self.list_tables(database)
 
     def create_table(self, database: str, table: TableDef, ignore_if_exists: bool = False) -> None:
-        columns = ", ".join(f"{quoted(c.name)} {c.type.spark.simpleString()}{' NOT NULL' * (not c.nullable)}" for c in table.columns)
+        columns = ", ".join(f"{quoted(c.name)} {c.type.held.simpleString()}{' NOT NULL' * (not c.nullable)}" for c in table.columns)
         self.spark.sql(
             f"CREATE TABLE {'IF NOT EXISTS ' * ignore_if_exists}{quoted(database.lower(), table.name)} ({columns}) USING parquet "
             f"TBLPROPERTIES ('{PROPERTY}' = '{self._dump(table)}')"
@@ -133,7 +133,7 @@ class Catalog:
 
     def add_column(self, database: str, table: str, column: str, kind: str) -> None:
         held, made = self.definition(database, table), ColumnDef(column.lower(), types.parse(kind))
-        self.spark.sql(f"ALTER TABLE {quoted(database.lower(), table.lower())} ADD COLUMNS ({quoted(made.name)} {made.type.spark.simpleString()})")
+        self.spark.sql(f"ALTER TABLE {quoted(database.lower(), table.lower())} ADD COLUMNS ({quoted(made.name)} {made.type.held.simpleString()})")
         self._keep(database, replace(held, columns=(*held.columns, made)))
 
     def drop_column(self, database: str, table: str, column: str) -> None:

@@ -100,6 +100,7 @@ class Table:
         if isinstance(where, str):
             where = parser.parse(where)
         tree = None if where is None or isinstance(where, Column) else predicates.normalise(where, self.definition.type_names)
+        self.definition.check_ordered(predicates.compared(tree))
         if not parted and (between or partitions is not None):
             raise ValueError(f"{self.definition.name} has no partitions")
         if parted:
@@ -125,6 +126,7 @@ class Table:
     def write(self, rows: DataFrame, options: WriteOptions = WriteOptions()) -> int:
         """Publishes a version with the rows written; its number."""
         options.check()
+        self.definition.check_ordered(options.sequence)
         definition, keys = self.definition, self.definition.keys
         if {"commit_version", "commit_timestamp", "source_event"} & set(rows.columns):
             raise ValueError("rows with metadata columns are read-only")

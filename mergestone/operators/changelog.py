@@ -54,7 +54,7 @@ def typed(events: DataFrame, definition: TableDef, metadata: dict[str, str] | bo
 
 
 def _value(text: Column, c: ColumnDef) -> Column:
-    kind, wanted = c.type.name, c.type.spark
+    kind, wanted = c.type.name, c.type.held
     if kind == "time":
         return F.make_dt_interval(secs=(scalar.duration_nanos(text) / 1_000_000_000).cast("decimal(18,6)"))
     if kind in ("binary", "varbinary", "tinyblob", "blob", "mediumblob", "longblob"):
@@ -63,6 +63,8 @@ def _value(text: Column, c: ColumnDef) -> Column:
         return F.concat(text, F.lit("+00:00")).try_cast(wanted)
     if kind in ("date", "datetime"):
         return text.try_cast(wanted)  # the zero date is null
+    if c.type.as_text:
+        return scalar.wide_decimal(text, *c.type.digits, c.name)
     names = [F.lit(v) for v in c.type.arguments]
     number = text.try_cast("long")
     if kind == "enum" and names:

@@ -350,8 +350,8 @@ def typed_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @book.add("SELECT p_partkey, (p_partkey + 1)::VARCHAR || repeat('0', 30) AS whole, (p_partkey + 1)::VARCHAR || repeat('0', 30) || '.00' AS cents FROM part")
 def typed_wide_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decimals of more than 20 digits before the point."""
-    wide = TableDef.of("wide", {"p_partkey": "bigint", "whole": "decimal(38,0)", "cents": "decimal(38,2)"})
+    """Decimals of more than 30 digits before the point; whatever the key, of up to 49, which is more than Spark's have."""
+    wide = TableDef.of("wide", {"p_partkey": "bigint", "whole": "decimal(65,0)", "cents": "decimal(65,2)"})
     text = F.concat((F.col("p_partkey") + 1).cast("string"), F.repeat(F.lit("0"), F.lit(30)))
-    out = wide.conform(table(spark, sf_dir, "part").select("p_partkey", text.cast("decimal(38,0)").alias("whole"), text.alias("cents")))
-    return out.select("p_partkey", F.col("whole").cast("string").alias("whole"), F.col("cents").cast("string").alias("cents"))
+    out = wide.conform(table(spark, sf_dir, "part").select("p_partkey", text.alias("whole"), text.alias("cents")))
+    return out.select("p_partkey", "whole", "cents")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mergestone import types
+from mergestone.functions import scalar
 
 
 @dataclass(frozen=True)
@@ -26,7 +27,7 @@ class ColumnDef:
         noted = {"mysql_type": self.type.name, "unsigned": self.type.unsigned}
         if self.type.name in ("enum", "set"):
             noted["values"] = list(self.type.arguments)
-        return T.StructField(self.name, self.type.spark, self.nullable, noted)
+        return T.StructField(self.name, self.type.held, self.nullable, noted)
 
 
 @dataclass(frozen=True)
@@ -55,6 +56,7 @@ class TableDef:
         for key in made.keys:
             if missing := set(key) - set(made.column_names):
                 raise ValueError(f"key columns {sorted(missing)} are not columns of {name}")
+        made.check_ordered([partitioning.column] if partitioning else [])
         return made
 
     @property
@@ -80,6 +82,11 @@ class TableDef:
         auto = {c.name for c in self.columns if c.auto_increment or c.auto_random}
         return [k for k in self.keys if not (generated and auto & set(k))]
 
+    def check_ordered(self, names) -> None:
+        """Decimals that are kept as text are equal as text, but not in its order."""
+        if found := sorted({c.name for c in self.columns if c.type.as_text} & {n.lower() for n in names}):
+            raise ValueError(f"columns {found} have more than 38 digits and can't be compared or ordered")
+
     def check_columns(self, frame: DataFrame) -> None:
         """A full-row write needs exactly these columns, in this order."""
         if [c.lower() for c in frame.columns] != self.column_names:
@@ -106,9 +113,11 @@ class TableDef:
                 value = F.rpad(value.cast("binary"), int(c.type.arguments[0]), F.lit(b"\x00"))
             if c.type.name in ("timestamp", "datetime") and isinstance(given, T.StringType):
                 value = value.try_cast(c.type.spark)  # the zero date is null
-            value = value.cast(c.type.spark)
+            if c.type.as_text:
+                value = scalar.wide_decimal(value.cast("int") if isinstance(given, T.BooleanType) else value, *c.type.digits, c.name)
+            value = value.cast(c.type.held)
             if not c.nullable and not c.auto_increment and not c.auto_random:
-                value = F.coalesce(value, F.raise_error(F.lit(f"null in NOT NULL column {c.name}")).cast(c.type.spark))
+                value = F.coalesce(value, F.raise_error(F.lit(f"null in NOT NULL column {c.name}")).cast(c.type.held))
             out.append(value.alias(c.name))
         return frame.select(*out, *others)
 

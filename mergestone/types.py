@@ -39,7 +39,7 @@ class MySQLType:
         if self.name == "bit":
             return T.BooleanType() if int(self.arguments[0] if self.arguments else 1) == 1 else T.LongType()
         if self.name == "decimal":
-            precision, scale = (*map(int, self.arguments), 0)[:2] if self.arguments else (10, 0)
+            precision, scale = self.digits
             if precision > 38:
                 raise ValueError(f"DECIMAL({precision}) has more digits than Spark's 38")
             return T.DecimalType(precision, scale)
@@ -47,6 +47,26 @@ class MySQLType:
             return PLAIN[self.name]
         raise ValueError(f"no Spark type for {self.name.upper()}")
 
+    @property
+    def digits(self) -> tuple[int, int]:
+        """Precision and scale of DECIMAL."""
+        return (*map(int, self.arguments), 0)[:2] if self.arguments else (10, 0)
+
+    @property
+    def as_text(self) -> bool:
+        """Whether it is a DECIMAL of more than Spark's 38 digits: its values are exact text, with every digit of the scale."""
+        return self.name == "decimal" and self.digits[0] > 38
+
+    @property
+    def held(self) -> T.DataType:
+        """The Spark type of a table's column: text for a DECIMAL that no Spark type fits."""
+        if not self.as_text:
+            return self.spark
+        precision, scale = self.digits
+        if precision > 65 or scale > 30:
+            raise ValueError(f"DECIMAL({precision},{scale}) has more digits than MySQL's 65, or 30 after the point")
+        return T.StringType()
+
     @property
     def bounds(self) -> tuple[int, int] | None:
         """Least and greatest value of integer types, YEAR and BIT."""

@@ -1,10 +1,12 @@
 """Layered tables, options, the catalog's versioned tables, pruning by conditions."""
 
 import datetime
+import decimal
 import os
 import threading
 
 import pytest
+from compare import same
 from pyspark.sql import functions as F
 
 from mergestone import options
@@ -12,8 +14,9 @@ from mergestone.catalog import Catalog
 from mergestone.engine import MINIBATCH, Table, WriteOptions
 from mergestone.functions import parser
 from mergestone.functions import predicates as P
-from mergestone.operators import partition, versions
+from mergestone.operators import changelog, partition, versions
 from mergestone.operators.partition import MAXVALUE, HashPartitioning, RangePartitioning
+from mergestone.plans import registry
 from mergestone.tabledef import TableDef
 
 KIND = "id long, name string, age int"
@@ -221,3 +224,56 @@ def test_wide_decimals(spark):
     assert (str(out["a"]), str(out["b"]), str(out["c"])) == (big, big + ".01", "1.001")
     with pytest.raises(Exception):
         table.conform(frame.withColumn("c", F.lit(1e9))).collect()
+
+
+def test_wide_decimals_of_any_key(spark, tmp_path):
+    keys = [0, 19_999, 999_998, 999_999, 1_199_999, 99_999_998, 99_999_999, 60 * 10**9, 2**63 - 2, -2, -(2**63), None]
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").coalesce(1).write.parquet(f"{tmp_path}/made")
+    part = next(f for f in os.listdir(f"{tmp_path}/made") if f.endswith(".parquet"))
+    os.rename(f"{tmp_path}/made/{part}", f"{tmp_path}/part.parquet")
+    same(spark, registry.QUERIES["typed_wide_decimal"], registry.ORACLE_SQL["typed_wide_decimal"], str(tmp_path))
+
+
+def test_decimals_wider_than_sparks(spark):
+    table = TableDef.of("t", {"a": "decimal(65,0)", "b": "decimal(65,30)", "c": "decimal(40,2)"})
+    nines, most = "9" * 35, "9" * 38
+    texts = ["0", "-0", "-0.4", "0.5", "-0.5", "1.5", "2.5", "-2.5", "0.005", "0.0049999", ".5", "5.", "+7", " 12 ", "007.10", nines + ".994", nines + ".995", "-" + nines + ".5",
+             "1e20", "1.25E+3", "125e-2", "5e-3", "5e-31", "4.9e-31", "1e-999999999", "0e999999999", "0." + "9" * 31, "123456789012345678901234567890.125", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", *[F.col("t").alias(c) for c in "abc"])
+    got = [(r["a"], r["b"], r["c"]) for r in sorted(table.conform(frame, ("i",)).collect(), key=lambda r: r["i"])]
+    exact = decimal.Context(prec=200, rounding=decimal.ROUND_HALF_UP, Emin=-(10**9), Emax=10**9)
+
+    def plain(text, scale):
+        value = exact.quantize(decimal.Decimal("0" if text.startswith("0e") else text.strip()), decimal.Decimal(1).scaleb(-scale))
+        return f"{abs(value) if value.is_zero() else value:f}"
+
+    assert got == [(None,) * 3 if t is None else tuple(plain(t, s) for s in (0, 30, 2)) for t in texts]
+    fits = table.conform(spark.createDataFrame([(most, nines, nines)], "a string, b string, c string")).first()
+    assert tuple(fits) == (most, nines + "." + "0" * 30, nines + ".00")
+    typed = spark.sql("SELECT CAST(-7 AS TINYINT) AS a, CAST('0.0000005' AS DECIMAL(38, 18)) AS b, 1.5e20D AS c UNION ALL SELECT 1, 2.5, 0.125D")
+    assert rows(table.conform(typed)) == [("-7", "0.0000005" + "0" * 23, "1" + "5" + "0" * 19 + ".00"), ("1", "2.5" + "0" * 29, "0.13")]
+    assert table.conform(spark.sql("SELECT true AS a, 1L AS b, false AS c")).first()["a"] == "1"
+    for column, wrong in (("a", "9" * 65 + ".5"), ("b", "1" + "0" * 35), ("c", "9" * 38 + ".995"), ("c", "1e38"), ("c", "1e999999999"), ("a", "x"), ("a", ""), ("a", "."), ("a", "1.2.3"), ("a", "1,2,3,4"), ("a", "NaN")):
+        with pytest.raises(Exception, match=f"(out of range|not a number) for column {column}"):
+            table.conform(frame.limit(1).withColumn(column, F.lit(wrong))).collect()
+    for kind in ("decimal(66,0)", "decimal(60,31)"):
+        with pytest.raises(ValueError, match="65"):
+            TableDef.of("t", {"a": kind}).schema
+
+
+def test_tables_with_decimals_wider_than_sparks(spark, tmp_path):
+    made = TableDef.of("t", {"k": "decimal(50,2) NOT NULL", "v": "int"}, primary_key=("k",))
+    table = Table(spark, f"file://{tmp_path}/t", made).create()
+    table.write(spark.createDataFrame([("1" + "0" * 40, 1), ("2", 2)], "k string, v int"))
+    table.write(spark.createDataFrame([("1" + "0" * 40 + ".001", 3), ("02.0", 4), ("-0", 5)], "k string, v int"), WriteOptions(mode="upsert"))
+    assert rows(table.read()) == [("0.00", 5), ("1" + "0" * 40 + ".00", 3), ("2.00", 4)]
+    assert table.read(where="k IS NOT NULL AND v > 3").count() == 2
+    for wrong in ("k > 1", "v = 1 OR k = 2", "k IN (1, 2)"):
+        with pytest.raises(ValueError, match="38 digits"):
+            table.read(where=wrong)
+    with pytest.raises(ValueError, match="38 digits"):
+        table.write(spark.createDataFrame([("3", 1)], "k string, v int"), WriteOptions(mode="upsert", deduplicate=True, sequence=("k",)))
+    with pytest.raises(ValueError, match="38 digits"):
+        TableDef.of("t", {"k": "decimal(50,2)"}, partitioning=RangePartitioning("k", (1, MAXVALUE)))
+    events = spark.sql("SELECT struct('7.005' AS k, '1' AS v) AS new, CAST(NULL AS struct<k: string, v: string>) AS old")
+    assert changelog.typed(events, made).first()["new"]["k"] == "7.01"
